@@ -72,16 +72,20 @@ def lookup_join(rows: DataFrame, side: DataFrame, key: str, record: str, broadca
     side = stage(side)
     if side.count() <= broadcast_rows:
         return rows.join(F.broadcast(side), key, "left")
-    sizes = stage(rows.groupBy(key).count())
+    marked = rows.withColumn("_hash", F.xxhash64(key))
+    sizes = stage(marked.filter(F.col(key).isNotNull()).groupBy("_hash").count())
     total = sizes.agg(F.sum("count")).first()[0] or 0
-    hot = [r[0] for r in sizes.filter((F.col("count") > total / 1000) & F.col(key).isNotNull()).select(key).collect()]
+    hot = [r[0] for r in sizes.filter(F.col("count") > total / 1000).select("_hash").collect()]
     salts = 64
-    salt = F.pmod(F.xxhash64(record), F.lit(salts)).cast("int")
+    is_hot = F.col("_hash").isin(hot) if hot else F.lit(False)
     # Null keys match nothing, so they only need spreading.
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    spread = rows.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, salt).otherwise(0))
+    spread = marked.withColumn(
+        "_salt",
+        F.when(F.col(key).isNull() | is_hot, F.pmod(F.xxhash64(record), F.lit(salts)).cast("int")).otherwise(0),
+    )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return spread.join(side.withColumn("_salt", F.explode(copies)), [key, "_salt"], "left").drop("_salt")
+    many = side.withColumn("_hash", F.xxhash64(key)).withColumn("_salt", F.explode(copies)).drop("_hash")
+    return spread.drop("_hash").join(many, [key, "_salt"], "left").drop("_salt")
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
