@@ -105,7 +105,7 @@ class Settings:
     # Size limits. Beyond them an operator takes its split or shuffled path.
     block_rows: int = 2_000_000
     broadcast_rows: int = 100_000
-    exact_group_rows: int = 5_000_000
+    exact_group_rows: int = 4_000_000
 
     # False: build the features the original column names left dead.
     compat: bool = False

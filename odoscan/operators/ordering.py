@@ -121,11 +121,17 @@ def running_totals(
     )
 
 
-def lay_out(df: DataFrame, track: Track) -> DataFrame:
-    """Number rows and cut long series into blocks; short series stay as they are."""
+def lay_out(df: DataFrame, track: Track, sized_by: DataFrame | None = None) -> DataFrame:
+    """Number rows and cut long series into blocks; short series stay as they are.
+
+    ``sized_by`` may name a frame that is cheaper to count and has at least as many
+    rows per entity, such as the rows before cleaning.
+    """
     if BLOCK in df.columns:
         return df
-    biggest, _ = largest_group(df, [track.entity])
+    biggest, _ = largest_group(df if sized_by is None else sized_by, [track.entity])
+    if biggest > track.block_rows and sized_by is not None:
+        biggest, _ = largest_group(df, [track.entity])
     if biggest <= track.block_rows:
         return df
     numbered = running_totals(df, [track.entity], track.order, {SEQ: F.lit(1).cast("long")}, track.block_rows)

@@ -41,7 +41,7 @@ def quantiles(
     grouped = keys or [ANY]
     base = df if keys else df.withColumn(ANY, F.lit(0))
     biggest, _ = largest_group(base, grouped)
-    if biggest <= settings.exact_group_rows:
+    if biggest * len(columns) <= settings.exact_group_rows:
         wanted = F.array(*[F.lit(p) for p in probs])
         found = (df.groupBy(*keys) if keys else df).agg(
             *[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns]

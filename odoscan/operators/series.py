@@ -19,7 +19,14 @@ HOUR = 3_600_000_000.0
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+    """Microseconds between two zoneless times, without a detour through the session's time zone."""
+    span = end - start
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), span)
+
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("long")
 
 
 # --- steps between neighbouring rows ---------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from odoscan.operators import cleaning, shaping, summaries
-from odoscan.operators.ordering import lay_out
+from odoscan.operators.ordering import lay_out, stage
 from odoscan.plans.registry import query, r, rounded
 from odoscan.plans.sql import GAPS, RAW, TELEMETRY
 from odoscan.plans.views import ROLES, TRACK, table, telemetry, telemetry_gaps, telemetry_raw
@@ -167,7 +167,7 @@ FROM numbered WINDOW
   a AS (PARTITION BY "Vehicle_ID" ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
 )
 def interpolate(spark, sf_dir):
-    rows = lay_out(telemetry_gaps(spark, sf_dir), TRACK)
+    rows = lay_out(stage(telemetry_gaps(spark, sf_dir).select("rec_id", "Vehicle_ID", "timestamp", "total_fuel", "speed_raw")), TRACK)
     filled = cleaning.interpolate(rows, TRACK, ["total_fuel", "speed_raw"])
     return rounded(filled.select("rec_id", "total_fuel", "speed_raw"))
 
@@ -251,7 +251,7 @@ _FILLED = ("total_fuel", "speed_raw")
 SELECT rec_id, {", ".join(r(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM gaps))", c) for c in _FILLED)} FROM gaps""",
 )
 def median_fill(spark, sf_dir):
-    rows = telemetry_gaps(spark, sf_dir).select("rec_id", *_FILLED)
+    rows = stage(telemetry_gaps(spark, sf_dir).select("rec_id", *_FILLED))
     return rounded(shaping.fill_medians(rows, _FILLED))
 
 
@@ -262,7 +262,7 @@ SELECT rec_id, total_fuel, speed_raw, CAST(ignition_raw AS DOUBLE) AS ignition_r
 )
 def feature_projection(spark, sf_dir):
     """Numeric columns without keys and coordinates, filled; a feature the data lacks is zero."""
-    matrix, names = shaping.model_matrix(telemetry(spark, sf_dir))
+    matrix, names = shaping.model_matrix(stage(telemetry(spark, sf_dir)))
     return shaping.align_features(matrix, [*names, "altitude"])
 
 

@@ -34,7 +34,7 @@ SELECT rec_id, {", ".join(r(f'''(CAST("{c}" AS DOUBLE) - (SELECT quantile_cont(C
      ELSE quantile_cont(CAST("{c}" AS DOUBLE), 0.75) - quantile_cont(CAST("{c}" AS DOUBLE), 0.25) END FROM f)''', c) for c in _SCALED)} FROM f""",
 )
 def robust_scale(spark, sf_dir):
-    rows = scaling.robust_scale(stage(featured(spark, sf_dir).select("rec_id", *_SCALED)), _SCALED)
+    rows = scaling.robust_scale(featured(spark, sf_dir).select("rec_id", *_SCALED), _SCALED)
     return rounded(rows)
 
 
@@ -57,7 +57,7 @@ q AS (SELECT "Stationary_drain", quantile_cont(u, 0.2) AS cut FROM d GROUP BY AL
 SELECT rec_id, "Stationary_drain", CAST(u <= cut AS INTEGER) AS is_test FROM d JOIN q USING ("Stationary_drain")""",
 )
 def split_strat(spark, sf_dir):
-    rows = labelled(stepped(spark, sf_dir)).select("rec_id", "Stationary_drain")
+    rows = stage(labelled(stepped(spark, sf_dir)).select("rec_id", "Stationary_drain"))
     return sampling.split(rows)
 
 
@@ -69,7 +69,7 @@ SELECT rec_id, CAST(u > a AS INTEGER) + CAST(u > b AS INTEGER) + CAST(u > c AS I
 FROM d JOIN q USING ("Stationary_drain")""",
 )
 def fold_strat(spark, sf_dir):
-    rows = labelled(stepped(spark, sf_dir)).select("rec_id", "Stationary_drain")
+    rows = stage(labelled(stepped(spark, sf_dir)).select("rec_id", "Stationary_drain"))
     return sampling.folds(rows).select("rec_id", "fold")
 
 
@@ -96,9 +96,9 @@ def class_weights(spark, sf_dir):
 
 def _judged(spark, sf_dir):
     """Noisy labels against the stand-in prediction and score."""
-    rows = labelled(scored(spark, sf_dir), noisy=True)
+    rows = labelled(scored(spark, sf_dir), noisy=True).select("rec_id", "total_fuel", "Final_Score", "Is_Stationary", "Fuel_Diff", "Stationary_drain")
     call = (F.col("Final_Score") > 0.6) | ((F.col("Is_Stationary") == 1) & (F.col("Fuel_Diff") < -60))
-    return rows.withColumn("Final_Prediction", F.coalesce(call, F.lit(False)).cast("int"))
+    return stage(rows.withColumn("Final_Prediction", F.coalesce(call, F.lit(False)).cast("int")))
 
 
 _JUDGED = (
@@ -169,7 +169,7 @@ _THREE = [("conservative", 0.8), ("balanced", 0.6), ("aggressive", 0.4)]
 )
 def model_rank(spark, sf_dir):
     """The three thresholds as competing models."""
-    rows = stage(_judged(spark, sf_dir).select("Stationary_drain", "Final_Score"))
+    rows = _judged(spark, sf_dir)
     parts = [
         metrics.metrics(rows.withColumn("call", (F.col("Final_Score") > cut).cast("int")), "Stationary_drain", "call").withColumn("model", F.lit(name))
         for name, cut in _THREE
@@ -243,14 +243,14 @@ def dbscan_line(spark, sf_dir):
 
 @query("dbscan")
 def dbscan(spark, sf_dir):
-    scaled = scaling.scaled_matrix(stage(featured(spark, sf_dir).select("rec_id", *FEATURES)), FEATURES)
+    scaled = scaling.scaled_matrix(featured(spark, sf_dir).select("rec_id", *FEATURES), FEATURES)
     rows = stage(scaled.select("rec_id", F.array(*FEATURES).alias("v")))
     return density.dbscan(rows, "v").select("rec_id", density.LABEL)
 
 
 @query("isolation_forest")
 def isolation_forest(spark, sf_dir):
-    scaled = scaling.scaled_matrix(stage(featured(spark, sf_dir).select("rec_id", *FEATURES)), FEATURES)
+    scaled = scaling.scaled_matrix(featured(spark, sf_dir).select("rec_id", *FEATURES), FEATURES)
     rows = stage(scaled.select("rec_id", F.array(*FEATURES).alias("v")))
     return isolation.isolation_forest(rows, "v").drop("v")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from odoscan.operators import profiles, rules, summaries
+from odoscan.operators.ordering import stage
 from odoscan.plans.registry import query, r, rounded
 from odoscan.plans.sql import DRIVERS, FEATURED, PLACES, PROFILED, RULES, STEPS
 from odoscan.plans.views import featured, profiled, stepped, table, telemetry
@@ -52,7 +53,7 @@ def vehicle_join(spark, sf_dir):
     f"""WITH {PLACES} SELECT location, n, {_each(["Location_Risk_Score", "Location_Frequency"])}, "Is_Rare_Location" FROM places""",
 )
 def place_frequency(spark, sf_dir):
-    return rounded(profiles.place_frequency(telemetry(spark, sf_dir)))
+    return rounded(profiles.place_frequency(stage(telemetry(spark, sf_dir).select("rec_id", "location"))))
 
 
 @query(
@@ -60,7 +61,7 @@ def place_frequency(spark, sf_dir):
     f"""WITH {PROFILED} SELECT rec_id, location, {_each(["Location_Risk_Score", "Location_Frequency"])} FROM profiled WHERE "Is_Rare_Location" = 1""",
 )
 def rare_places(spark, sf_dir):
-    rows = telemetry(spark, sf_dir)
+    rows = stage(telemetry(spark, sf_dir).select("rec_id", "location"))
     joined = profiles.join_place(rows, profiles.place_frequency(rows)).filter("Is_Rare_Location = 1")
     return rounded(joined.select("rec_id", "location", "Location_Risk_Score", "Location_Frequency"))
 
@@ -118,7 +119,7 @@ SELECT rec_id, {r('abs("Fuel_Diff")', "Fuel_Change_Magnitude")}, CAST(coalesce(a
   CAST(coalesce(abs("Fuel_Diff") > b, false) AS INTEGER) AS "Is_Extreme_Change" FROM steps, q""",
 )
 def change_flags(spark, sf_dir):
-    rows = rules.change_flags(stepped(spark, sf_dir))
+    rows = rules.change_flags(stage(stepped(spark, sf_dir).select("rec_id", "Fuel_Diff")))
     return rounded(rows.select("rec_id", "Fuel_Change_Magnitude", "Is_Large_Change", "Is_Extreme_Change"))
 
 
@@ -132,7 +133,8 @@ def rule_flags(spark, sf_dir):
 
 @query("rule_score", f"""WITH {RULES} SELECT rec_id, {r('"Anomaly_Score"', "Anomaly_Score")} FROM ruled""")
 def rule_score(spark, sf_dir):
-    return rounded(rules.rule_score(profiled(spark, sf_dir)).select("rec_id", "Anomaly_Score"))
+    weighed = stage(rules.weighted_rules(profiled(spark, sf_dir)).select("rec_id", "Anomaly_Score"))
+    return rounded(rules.over_maximum(weighed, "Anomaly_Score"))
 
 
 def _feature_stat(column: str, source: str) -> str:

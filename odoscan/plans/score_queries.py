@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from odoscan.operators import scoring
 from odoscan.operators.cleaning import flag
+from odoscan.operators.ordering import stage
 from odoscan.plans.registry import query, r, rounded
 from odoscan.plans.sql import RULES, SCORED
 from odoscan.plans.views import profiled, scored, telemetry
@@ -21,7 +22,8 @@ def predicted(spark, sf_dir):
 SELECT rec_id, {r("s / (SELECT max(s) FROM b)", "Final_Score")} FROM b""",
 )
 def score_blend(spark, sf_dir):
-    return rounded(scoring.blend_final(scored(spark, sf_dir).drop("Final_Score")).select("rec_id", "Final_Score"))
+    return rounded(scoring.blend_final(stage(scored(spark, sf_dir).select("rec_id", "Ensemble_Score", "Theft_Probability")))
+        .select("rec_id", "Final_Score"))
 
 
 _DETECTED = (
@@ -43,7 +45,8 @@ called AS (SELECT *, CAST("Ensemble_Score" > q + 1e-9 AS INTEGER) AS "Predicted_
 def _detected(spark, sf_dir):
     """Rule scores with stand-in detector outputs."""
     rid = F.col("rec_id")
-    return rules.rule_score(profiled(spark, sf_dir)).withColumns(
+    weighed = stage(rules.weighted_rules(profiled(spark, sf_dir)).select("rec_id", "Anomaly_Score"))
+    return rules.over_maximum(weighed, "Anomaly_Score").withColumns(
         {
             "DBSCAN_Cluster": F.when(rid % 17 == 0, -1).otherwise(rid % 3),
             "IsoForest_Anomaly": flag(rid % 101 == 0),
@@ -120,7 +123,7 @@ def risk_by_hour(spark, sf_dir):
     )} FROM scored""",
 )
 def score_stats(spark, sf_dir):
-    return rounded(scoring.score_stats(scored(spark, sf_dir)))
+    return rounded(scoring.score_stats(stage(scored(spark, sf_dir).select("Final_Score"))))
 
 
 @query(
@@ -131,7 +134,7 @@ def score_stats(spark, sf_dir):
   {r('max("Final_Score")', "max")}, {r('quantile_cont("Final_Score", 0.5)', "median")} FROM predicted""",
 )
 def run_summary(spark, sf_dir):
-    return rounded(scoring.summary(predicted(spark, sf_dir)))
+    return rounded(scoring.summary(stage(predicted(spark, sf_dir).select("Final_Score", "Final_Prediction"))))
 
 
 @query(
@@ -145,7 +148,7 @@ SELECT rec_id, "timestamp", "Vehicle_ID", driver_name, location, total_fuel, {r(
 FROM p, q""",
 )
 def alert_priority(spark, sf_dir):
-    alerts = scoring.alert_priority(predicted(spark, sf_dir))
+    alerts = scoring.alert_priority(stage(predicted(spark, sf_dir)))
     return alerts.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("Fuel_Diff", "Final_Score", "Priority_Score")})
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from odoscan.config import Roles, Settings, Track
 from odoscan.functions.calendar import calendar
 from odoscan.operators import cleaning, profiles, rules, series
-from odoscan.operators.ordering import lay_out
+from odoscan.operators.ordering import lay_out, stage
 
 ROLES = Roles()
 SETTINGS = Settings()
@@ -62,7 +62,8 @@ def telemetry_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned rows, laid out for series operators."""
-    return lay_out(telemetry(spark, sf_dir), TRACK)
+    raw = table(spark, sf_dir, "events").selectExpr("concat('V', user_id) as Vehicle_ID", "explode(array(0, 1)) as copy")
+    return lay_out(telemetry(spark, sf_dir), TRACK, sized_by=raw)
 
 
 def stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +72,12 @@ def stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows with the temporal features that the profiles and rules read."""
+    """Rows with the temporal features that the profiles and rules read.
+
+    Written once: what reads them passes over them several times.
+    """
     rows = series.runs(calendar(stepped(spark, sf_dir)), TRACK, parts=("stationary", "refuel"))
-    return rules.sudden_drop(rows)
+    return stage(rules.sudden_drop(rows))
 
 
 def profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,13 +90,8 @@ def profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Featured rows with stand-in scores that are a fixed function of the record id."""
     mod = lambda k: F.pmod(F.col("rec_id") * k, F.lit(1000)).cast("double") / 1000
-    return calendar(stepped(spark, sf_dir)).withColumns(
-        {
-            "Final_Score": mod(1),
-            "Ensemble_Score": mod(3),
-            "Theft_Probability": mod(7),
-        }
-    )
+    scores = {"Final_Score": mod(1), "Ensemble_Score": mod(3), "Theft_Probability": mod(7)}
+    return calendar(stepped(spark, sf_dir)).withColumns(scores)
 
 
 def labelled(df: DataFrame, noisy: bool = False) -> DataFrame:

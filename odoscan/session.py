@@ -13,6 +13,9 @@ def local_session(cores: int | str = "*", partitions: int = 8, name: str = "odos
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Small test tables should still keep every local core busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+        .config("spark.sql.files.openCostInBytes", "131072")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
