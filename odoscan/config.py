@@ -101,6 +101,7 @@ class Settings:
     trees: int = 100
     boosting_rounds: int = 100
     learning_rate: float = 0.1
+    network_rounds: int = 500
 
     # Size limits. Beyond them an operator takes its split or shuffled path.
     block_rows: int = 2_000_000

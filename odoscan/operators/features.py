@@ -16,24 +16,38 @@ from odoscan.operators.ordering import bounded, clear_layout, lay_out, stage
 SETS = ("temporal", "behavioral", "statistical")
 
 
-def temporal(df: DataFrame, track: Track, roles: Roles, settings: Settings) -> DataFrame:
-    if roles.time not in df.columns:
-        return df
-    df = cyclical(calendar(df, roles, settings))
-    if roles.level not in df.columns:
+def temporal_series(df: DataFrame, track: Track, roles: Roles, settings: Settings) -> DataFrame:
+    """Steps, standing runs and refuels: the temporal features that need row order."""
+    if roles.time not in df.columns or roles.level not in df.columns:
         return df
-    df = gap_category(series.steps(df, track, roles))
+    df = series.steps(df, track, roles)
     parts = ["refuel"]
     if roles.speed in df.columns:
         df = rules.stationary(df, roles)
         parts.append("stationary")
-    return rules.sudden_drop(series.runs(df, track, roles, settings, parts), settings)
+    return series.runs(df, track, roles, settings, parts)
+
+
+def temporal_rows(df: DataFrame, roles: Roles, settings: Settings) -> DataFrame:
+    """Temporal features of the row alone."""
+    if roles.time not in df.columns:
+        return df
+    df = cyclical(calendar(df, roles, settings))
+    return rules.sudden_drop(gap_category(df), settings) if "Time_Diff" in df.columns else df
 
 
 def statistical_series(df: DataFrame, track: Track, roles: Roles, settings: Settings) -> DataFrame:
-    """Rolling, lagged, weighted and streak features: everything that needs row order."""
+    """Weighted, streak, rolling and lagged features: everything that needs row order.
+
+    The few look-backs of unlimited length come first, while rows are narrow.
+    """
     if roles.level not in df.columns:
         return df
+    spans = {f"Fuel_EWMA_{n}": n for n in settings.rolling_windows} | {"_fast": 12, "_slow": 26}
+    df = smoothing.weighted_means(df, track, roles.level, spans)
+    df = df.withColumn("Fuel_MACD", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    if "Fuel_Diff" in df.columns:
+        df = series.runs(df, track, roles, settings, ["losses"])
     measured = [c for c in (roles.level, "Fuel_Diff", "Fuel_Rate", roles.speed) if c in df.columns]
     extremes = [c for c in (roles.level, "Fuel_Diff") if c in df.columns]
     delayed = [c for c in (roles.level, "Fuel_Diff", roles.speed) if c in df.columns]
@@ -48,10 +62,7 @@ def statistical_series(df: DataFrame, track: Track, roles: Roles, settings: Sett
     df = series.variation(df, [c for c in (roles.level, "Fuel_Rate") if c in df.columns], sizes)
     if not settings.compat:
         df = series.rolling_range(df, roles.level, [n for n in (10, 30) if n in sizes])
-    spans = {f"Fuel_EWMA_{n}": n for n in sizes} | {"_fast": 12, "_slow": 26}
-    df = smoothing.weighted_means(df, track, roles.level, spans)
-    df = df.withColumn("Fuel_MACD", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    return series.runs(df, track, roles, settings, ["losses"]) if "Fuel_Diff" in df.columns else df
+    return df
 
 
 def behavioral(df: DataFrame, roles: Roles, settings: Settings) -> DataFrame:
@@ -97,9 +108,11 @@ def build_features(
         return made
 
     if "temporal" in sets:
-        df = step("temporal", df, lambda d: temporal(d, track, roles, settings))
+        df = step("temporal", df, lambda d: temporal_series(d, track, roles, settings))
     if "statistical" in sets:
         df = step("statistical", df, lambda d: statistical_series(d, track, roles, settings))
+    if "temporal" in sets:
+        df = step("temporal", df, lambda d: temporal_rows(d, roles, settings))
     df = stage(clear_layout(df))
     if "behavioral" in sets:
         df = step("behavioral", df, lambda d: behavioral(d, roles, settings))

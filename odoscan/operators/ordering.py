@@ -34,6 +34,8 @@ BLOCK = "_block"
 SLICE = "_slice"
 BORROWED = "_borrowed"
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables that all executors can reach."""
@@ -42,9 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="odoscan-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # Local runs such as tests: one folder per application.
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="odoscan-")
+    return _LOCAL_FOLDERS[app]
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from odoscan.plans.sql import FEATURED, RULES, SCORED, STEPS
 from odoscan.plans.views import featured, labelled, profiled, scored, stepped, table, telemetry, telemetry_raw
 
 # Fewer trees and rounds than the defaults: these queries show the flow on every row, not the best model.
-LIGHT = replace(Settings(), trees=20, boosting_rounds=10, restarts=3, max_clusters=6)
+LIGHT = replace(Settings(), trees=20, boosting_rounds=10, network_rounds=50, restarts=3, max_clusters=6)
 FEATURES = [
     "total_fuel", "speed_raw", "Time_Diff", "Fuel_Diff", "Fuel_Rate", "Hour", "Is_NightTime", "Is_Stationary",
     "Stationary_Duration", "Time_Since_Refuel",
