@@ -241,8 +241,44 @@ def dbscan_line(spark, sf_dir):
     return density.dbscan(rows, "v", settings=replace(Settings(), eps=0.105)).select("rec_id", density.LABEL)
 
 
-@query("dbscan")
+_PLANE = ["total_fuel", "Fuel_Diff", "Stationary_Duration"]
+
+
+def _scaled_sql(columns) -> str:
+    """Median-filled, robust-scaled columns of ``featured`` as x0, x1, ..."""
+    filled = ", ".join(f"""coalesce("{c}", (SELECT quantile_cont("{c}", 0.5) FROM featured)) AS f{i}""" for i, c in enumerate(columns))
+    scaled = ", ".join(
+        f"(f{i} - (SELECT quantile_cont(f{i}, 0.5) FROM filled)) / (SELECT coalesce(nullif(quantile_cont(f{i}, 0.75) - quantile_cont(f{i}, 0.25), 0), 1) FROM filled) AS x{i}"
+        for i in range(len(columns))
+    )
+    return f"filled AS (SELECT rec_id, {filled} FROM featured), scaled AS MATERIALIZED (SELECT rec_id, {scaled} FROM filled)"
+
+
+@query(
+    "dbscan",
+    f"""WITH RECURSIVE {FEATURED}, {_scaled_sql(_PLANE)},
+near AS MATERIALIZED (SELECT a.rec_id AS a, b.rec_id AS b FROM scaled a JOIN scaled b ON abs(a.x0 - b.x0) <= 0.0503 AND abs(a.x1 - b.x1) <= 0.0503
+  AND power(a.x0 - b.x0, 2) + power(a.x1 - b.x1, 2) + power(a.x2 - b.x2, 2) <= 0.0503 * 0.0503),
+core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
+edge AS MATERIALIZED (SELECT a, b FROM near WHERE a <> b AND a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+grow(id, label) USING KEY (id) AS (
+  SELECT id, id FROM core
+  UNION
+  SELECT e.b, min(g.label) FROM grow g JOIN edge e ON e.a = g.id JOIN recurring.grow r ON r.id = e.b WHERE g.label < r.label GROUP BY e.b),
+named AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS label FROM grow),
+beside AS (SELECT n.a AS id, min(m.label) AS label FROM near n JOIN named m ON m.id = n.b WHERE n.a NOT IN (SELECT id FROM core) GROUP BY n.a)
+SELECT rec_id, CAST(coalesce(m.label, b.label, -1) AS INTEGER) AS "DBSCAN_Cluster"
+FROM scaled LEFT JOIN named m ON m.id = rec_id LEFT JOIN beside b ON b.id = rec_id""",
+)
 def dbscan(spark, sf_dir):
+    scaled = scaling.scaled_matrix(featured(spark, sf_dir).select("rec_id", *_PLANE), _PLANE)
+    rows = stage(scaled.select("rec_id", F.array(*_PLANE).alias("v")))
+    return density.dbscan(rows, "v", settings=replace(Settings(), eps=0.0503)).select("rec_id", density.LABEL)
+
+
+@query("dbscan_features")
+def dbscan_features(spark, sf_dir):
+    """All features at the default reach, where most rows are noise."""
     scaled = scaling.scaled_matrix(featured(spark, sf_dir).select("rec_id", *FEATURES), FEATURES)
     rows = stage(scaled.select("rec_id", F.array(*FEATURES).alias("v")))
     return density.dbscan(rows, "v").select("rec_id", density.LABEL)

@@ -241,7 +241,19 @@ def zscore_local(spark, sf_dir):
     return rounded(rows.select("rec_id", *[f"{c}_ZScore_Local" for c in _SCORED]))
 
 
-@query("entropy")
+@query(
+    "entropy",
+    f"""WITH {TELEMETRY}, w AS (SELECT rec_id, list(total_fuel) OVER (PARTITION BY "Vehicle_ID" ORDER BY "timestamp", rec_id
+    ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS xs FROM telemetry),
+s AS (SELECT rec_id, xs, len(xs) AS n, list_min(xs) AS lo, list_max(xs) - list_min(xs) AS spread,
+  list_aggregate(xs, 'quantile_cont', 0.75) - list_aggregate(xs, 'quantile_cont', 0.25) AS iqr FROM w WHERE len(xs) >= 10),
+b AS (SELECT *, CASE WHEN spread > 0 THEN CAST(ceil(spread / least(greatest(2 * iqr / cbrt(n), spread / sqrt(n) / 2), spread / (log2(n) + 1))) AS BIGINT)
+  ELSE 1 END AS bins FROM s),
+x AS (SELECT rec_id, n, lo, spread, bins, unnest(xs) AS x FROM b),
+p AS (SELECT rec_id, n, len(list_filter(range(1, bins), lambda i: x >= lo + i * (spread / bins))) AS place, count(*) AS c FROM x GROUP BY ALL),
+h AS (SELECT rec_id, -sum(c / n * log2(c / n)) AS bits FROM p GROUP BY rec_id)
+SELECT rec_id, {r("bits", "total_fuel_Entropy")} FROM telemetry LEFT JOIN h USING (rec_id)""",
+)
 def entropy(spark, sf_dir):
     rows = rolling_entropy(ordered(spark, sf_dir), TRACK, "total_fuel")
     return rounded(rows.select("rec_id", "total_fuel_Entropy"))

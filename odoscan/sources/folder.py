@@ -71,7 +71,8 @@ def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_headers(files: DataFrame) -> DataFrame:
     """The header record of every file, read on the executors; null if unreadable or empty."""
-    return files.select("path").repartition(32).mapInPandas(_first_records, "path string, header array<string>")
+    tasks = max(32, files.sparkSession.sparkContext.defaultParallelism)
+    return files.select("path").repartition(tasks).mapInPandas(_first_records, "path string, header array<string>")
 
 
 def read_csv_folder(
@@ -97,7 +98,9 @@ def read_csv_folder(
     for header, paths in sorted(groups.items()):
         names = canonical_names(header)
         schema = ", ".join(f"c{i} string" for i in range(len(names)))
-        raw = spark.read.schema(schema).option("header", True).option("multiLine", any("\n" in h for h in header)).csv(sorted(paths))
+        reader = spark.read.schema(schema).option("header", True).option("multiLine", any("\n" in h for h in header))
+        whole = len(groups) == 1 and not failed
+        raw = reader.option("pathGlobFilter", pattern).csv(directory) if whole else reader.csv(sorted(paths))
         body = with_provenance(raw, roles)
         frames.append(drop_duplicate_columns(body, [*names, roles.entity, roles.source], keep))
     return union_all(frames), sorted(failed)
