@@ -357,9 +357,8 @@ def predict_batch(spark, sf_dir):
 
 @query("compare_models")
 def compare_models(spark, sf_dir):
-    names = ["logistic_regression", "random_forest"]
-    folder = _saved(spark, sf_dir, names)
-    return prediction.compare(spark, folder, names, _training_rows(spark, sf_dir))
+    folder = _saved(spark, sf_dir, ["logistic_regression", "random_forest"])
+    return prediction.compare(spark, folder, _training_rows(spark, sf_dir))
 
 
 @query("detectors")

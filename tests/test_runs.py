@@ -107,7 +107,7 @@ def test_whole_run_and_prediction(spark, sf, tmp_path):
     bare = prediction.score_rows(model, spark.range(5).select(F.col("id").alias("rec_id")), Roles())
     assert bare.count() == 5
     featured = spark.read.parquet(f"{out}/featured.parquet")
-    ranked = prediction.compare(spark, f"{out}/models", ["logistic_regression", "random_forest"], featured).collect()
+    ranked = prediction.compare(spark, f"{out}/models", featured).collect()
     assert ranked[0]["f1"] >= ranked[1]["f1"]
 
 
