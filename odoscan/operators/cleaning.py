@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odoscan.config import Roles, Settings, Track
-from odoscan.operators.ordering import SEQ, bounded, lay_out, last_known, next_known, position
+from odoscan.operators.ordering import bounded, lay_out, look_around, position
 
 
 def flag(condition: Column) -> Column:
@@ -137,11 +137,11 @@ def interpolate(
     """
     if columns is None:
         columns = [c for c in numeric_columns(df) if c not in keep_out and not c.startswith("_")]
-    laid = SEQ in df.columns
     df = df.withColumn("_at", position(df, track))
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), F.col("_at").alias("p"))) for c in columns}
-    df = last_known(df, track, {f"_before_{c}": e for c, e in known.items()})
-    df = next_known(df, track, {f"_after_{c}": e for c, e in known.items()})
+    df = look_around(
+        df, track, last={f"_before_{c}": e for c, e in known.items()}, ahead={f"_after_{c}": e for c, e in known.items()}
+    )
 
     def filled(c: str) -> Column:
         a, b = F.col(f"_before_{c}"), F.col(f"_after_{c}")

@@ -11,9 +11,8 @@ through this module:
   of ``Track.block_rows`` rows. It adds nothing when every series is short.
 * ``bounded`` runs window code that looks back a fixed number of rows; each
   block borrows that many rows from the block before it.
-* ``last_known``, ``next_known`` and ``running_count`` look back (or ahead)
-  without limit; each block receives the state of its neighbours from a small
-  per-block summary.
+* ``look_around`` looks back (or ahead) without limit; each block receives the
+  state of the others from a summary with one row per block.
 """
 
 from __future__ import annotations
@@ -182,54 +181,57 @@ def bounded(
     return compute(widened, in_order(widened, track)).filter(~F.col(BORROWED)).drop(BORROWED)
 
 
-def _known(df: DataFrame, track: Track, values: dict[str, Column], ahead: bool, strict: bool) -> DataFrame:
+def look_around(
+    df: DataFrame,
+    track: Track,
+    last: dict[str, Column] | None = None,
+    before: dict[str, Column] | None = None,
+    ahead: dict[str, Column] | None = None,
+    counts: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Look along the series without limit, everything in one pass.
+
+    ``last``: latest non-null value up to the row; ``before``: strictly earlier;
+    ``ahead``: nearest non-null value from the row on; ``counts``: rows up to this
+    one that satisfy a condition. Rows without an entity form no series.
+
+    Blocks are written first, because both the rows and their summary read them;
+    chained calls would otherwise double the plan each time.
+    """
+    last, before, ahead, counts = last or {}, before or {}, ahead or {}, counts or {}
+    cut = BLOCK in df.columns
+    if cut:
+        df = stage(df)
     here = in_order(df, track)
-    edge = 1 if strict else 0
-    if ahead:
-        nearest, frame = F.first, here.rowsBetween(edge, Window.unboundedFollowing)
-    else:
-        nearest, frame = F.last, here.rowsBetween(Window.unboundedPreceding, -edge)
-    local = {name: nearest(e, ignorenulls=True).over(frame) for name, e in values.items()}
-    if BLOCK not in df.columns:
+    first_row, last_row = Window.unboundedPreceding, Window.unboundedFollowing
+    hits = {n: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for n, c in counts.items()}
+    local = {n: F.last(e, ignorenulls=True).over(here.rowsBetween(first_row, 0)) for n, e in last.items()}
+    local |= {n: F.last(e, ignorenulls=True).over(here.rowsBetween(first_row, -1)) for n, e in before.items()}
+    local |= {n: F.first(e, ignorenulls=True).over(here.rowsBetween(0, last_row)) for n, e in ahead.items()}
+    local |= {n: F.sum(h).over(here.rowsBetween(first_row, 0)) for n, h in hits.items()}
+    if not cut:
         return df.withColumns(local)
+
     by = [track.entity, BLOCK]
-    pick = F.min_by if ahead else F.max_by
+    backward = last | before
+
+    def at(e: Column) -> Column:
+        return F.when(e.isNotNull(), F.col(SEQ))
+
     summary = df.groupBy(*by).agg(
-        *[pick(e, F.when(e.isNotNull(), F.col(SEQ))).alias(name) for name, e in values.items()]
+        *[F.max_by(e, at(e)).alias(n) for n, e in backward.items()],
+        *[F.min_by(e, at(e)).alias(n) for n, e in ahead.items()],
+        *[F.sum(h).alias(n) for n, h in hits.items()],
     )
     blocks = Window.partitionBy(track.entity).orderBy(BLOCK)
-    if ahead:
-        outside = blocks.rowsBetween(1, Window.unboundedFollowing)
-    else:
-        outside = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    prior, later = blocks.rowsBetween(first_row, -1), blocks.rowsBetween(1, last_row)
     carried = summary.select(
-        *by, *[nearest(name, ignorenulls=True).over(outside).alias(f"_carried_{name}") for name in values]
+        *by,
+        *[F.last(n, ignorenulls=True).over(prior).alias(f"_carried_{n}") for n in backward],
+        *[F.first(n, ignorenulls=True).over(later).alias(f"_carried_{n}") for n in ahead],
+        *[F.sum(n).over(prior).alias(f"_carried_{n}") for n in hits],
     )
-    joined = join_on(df.withColumns(local), carried, by)
-    return joined.withColumns(
-        {name: F.coalesce(F.col(name), F.col(f"_carried_{name}")) for name in values}
-    ).drop(*[f"_carried_{name}" for name in values])
-
-
-def last_known(df: DataFrame, track: Track, values: dict[str, Column], strict: bool = False) -> DataFrame:
-    """Latest non-null value up to the row (``strict``: before it)."""
-    return _known(df, track, values, ahead=False, strict=strict)
-
-
-def next_known(df: DataFrame, track: Track, values: dict[str, Column], strict: bool = False) -> DataFrame:
-    """Nearest non-null value from the row on (``strict``: after it)."""
-    return _known(df, track, values, ahead=True, strict=strict)
-
-
-def running_count(df: DataFrame, track: Track, name: str, condition: Column) -> DataFrame:
-    """How many rows up to and including this one satisfy the condition."""
-    hit = F.coalesce(condition.cast("long"), F.lit(0).cast("long"))
-    upto = in_order(df, track).rowsBetween(Window.unboundedPreceding, 0)
-    counted = df.withColumn(name, F.sum(hit).over(upto))
-    if BLOCK not in df.columns:
-        return counted
-    by = [track.entity, BLOCK]
-    before = Window.partitionBy(track.entity).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*by).agg(F.sum(hit).alias("_n"))
-    offsets = sums.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return join_on(counted, offsets, by).withColumn(name, F.col(name) + F.col("_before")).drop("_before")
+    joined = df.withColumns(local).join(carried, by, "left")
+    whole = {n: F.coalesce(F.col(n), F.col(f"_carried_{n}")) for n in [*backward, *ahead]}
+    whole |= {n: F.col(n) + F.coalesce(F.col(f"_carried_{n}"), F.lit(0)) for n in hits}
+    return joined.withColumns(whole).drop(*[f"_carried_{n}" for n in whole])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from odoscan.config import Roles, Settings, Track
 from odoscan.operators.cleaning import flag
-from odoscan.operators.ordering import bounded, last_known, lookup_join, position
+from odoscan.operators.ordering import bounded, look_around, lookup_join, position
 
 MINUTE = 60_000_000.0
 HOUR = 3_600_000_000.0
@@ -121,28 +121,26 @@ def runs(
     serves them: a stationary run started after the row before its first row, a
     refuel lies strictly earlier, a streak counts from the last row without loss.
     """
-    look_back, helpers = {}, []
+    upto, before, helpers = {}, {}, []
     if "stationary" in parts:
         def mark_runs(frame: DataFrame, window: WindowSpec) -> DataFrame:
-            before = F.lag(roles.time).over(window)
+            previous = F.lag(roles.time).over(window)
             changed = F.col("Is_Stationary") != F.lag("Is_Stationary").over(window)
-            return frame.withColumns(
-                {"_previous": before, "_start": F.when(before.isNull(), F.col(roles.time)).when(changed, before)}
-            )
+            start = F.when(previous.isNull(), F.col(roles.time)).when(changed, previous)
+            return frame.withColumns({"_previous": previous, "_start": start})
 
         df = bounded(df, track, 1, mark_runs)
-        look_back["_run_start"] = F.col("_start")
+        upto["_run_start"] = F.col("_start")
         helpers += ["_previous", "_start", "_run_start"]
     if "losses" in parts:
         df = df.withColumns({"Is_Fuel_Loss": flag(F.col("Fuel_Diff") < 0), "_at": position(df, track)})
-        look_back["_no_loss"] = F.when(F.col("Is_Fuel_Loss") == 0, F.col("_at"))
+        upto["_no_loss"] = F.when(F.col("Is_Fuel_Loss") == 0, F.col("_at"))
         helpers += ["_at", "_no_loss"]
-    if look_back:
-        df = last_known(df, track, look_back)
     if "refuel" in parts:
         df = df.withColumn("Is_Refuel", flag(F.col("Fuel_Diff") > settings.refuel_threshold))
-        df = last_known(df, track, {"_refuel": F.when(F.col("Is_Refuel") == 1, F.col(roles.time))}, strict=True)
+        before["_refuel"] = F.when(F.col("Is_Refuel") == 1, F.col(roles.time))
         helpers.append("_refuel")
+    df = look_around(df, track, last=upto, before=before)
     new = {}
     if "stationary" in parts:
         lasted = micros_between(F.col("_run_start"), F.col(roles.time)) / F.lit(MINUTE)
