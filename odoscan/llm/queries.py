@@ -128,3 +128,10 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odoscan.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+@query("op4_order_minhash")
+def order_minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odoscan.llm.order_minhash import near_classes
+
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "keep")
