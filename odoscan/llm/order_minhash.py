@@ -240,3 +240,12 @@ def near_classes(
     named = grouped.select("k1", "k2", "label").join(classes, "label")
     rows = table.select("row", "doc_id", "k1", "k2").join(named, ["k1", "k2"])
     return rows.select("doc_id", "k1", "k2", "class_id", "class_size", (F.col("row") == F.col("label")).alias("keep"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """One row of each class, with all its columns; among equal rows it does not matter which stays."""
+    kept = near_classes(docs, id_col, text_col, **settings).filter("keep").select(F.col("doc_id").alias("_id"), "k1", "k2").distinct()
+    k1, k2 = digest_columns(F.when(F.trim(F.translate(F.col(text_col), "\t\n\x0b\x0c\r", "     ")) != "", F.col(text_col)))
+    marked = docs.withColumns({"_k1": k1, "_k2": k2})
+    same = marked[id_col].eqNullSafe(kept["_id"]) & (marked["_k1"] == kept["k1"]) & (marked["_k2"] == kept["k2"])
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, "_k1", "_k2"]).drop("_k1", "_k2")

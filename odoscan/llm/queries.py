@@ -135,3 +135,18 @@ def order_minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odoscan.llm.order_minhash import near_classes
 
     return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "keep")
+
+
+@query("op2_nearest")
+def nearest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odoscan.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_suffix_dedup")
+def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odoscan.llm.suffix import remove_repeated_bytes
+
+    kept = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

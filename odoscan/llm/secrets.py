@@ -137,3 +137,20 @@ def scan_secrets(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id",
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
+
+
+def redact_secrets(docs: DataFrame, vocabulary_file: str, text_col: str = "text", ratio: float = RATIO) -> DataFrame:
+    """All rows and columns of ``docs``, with every secret in the text replaced by a mark; null texts stay null."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = text_of(batch.column(at))
+            for low, high in byte_chunks(offsets):
+                part = batch.slice(low, high - low)
+                texts = part.column(at).to_pylist()
+                texts = [t if t is None else redact(t, scan(t, vocabulary_file, ratio)) for t in texts]
+                columns = [*part.columns[:at], pa.array(texts, part.schema.field(at).type), *part.columns[at + 1 :]]
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ Null texts have no words. Ties between equal grams go to the first.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +41,20 @@ def text_key(text: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:16], "big", signed=True)
 
 
+_PLACE = np.uint64((1 << 31) - 1)
+
+
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the first smallest value in each run of ``width`` values."""
-    n = len(values) - width + 1
-    if n <= 0:
+    """Position of the first smallest value (by its high bits) in each run of ``width`` values."""
+    if len(values) < width:
         return np.zeros(0, np.int64)
-    # Smallest of two overlapping runs whose lengths are powers of two.
-    best, span = np.arange(len(values)), 1
+    least, span = (values & ~_PLACE) | np.arange(len(values), dtype=np.uint64), 1
     while span * 2 <= width:
-        left, right = best[: len(best) - span], best[span:]
-        best = np.where(values[right] < values[left], right, left)
+        least = np.minimum(least[:-span], least[span:])
         span *= 2
-    left, right = best[:n], best[width - span : width - span + n]
-    return np.where(values[right] < values[left], right, left)
+    if span < width:
+        least = np.minimum(least[: span - width], least[width - span :])
+    return (least & _PLACE).astype(np.int64)
 
 
 def cells(anchors: np.ndarray, size: int) -> list[np.ndarray]:
@@ -81,16 +82,15 @@ class Words:
         return self.grams[np.unique(self.anchor_at)]
 
 
-def sketch(docs: DataFrame, text_col: str, window: int, gram: int, size: int) -> bytes:
-    """Bits of the cells, row after row, that anchors have reached at least twice."""
+def count_cells(docs: DataFrame, text_col: str, anchors_of: Callable, size: int, levels: tuple[int, ...] = (2,)) -> list[bytes]:
+    """For each level, bits of the cells, row after row, that anchors have reached at least so often."""
+    most = max(levels)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if not seen:
-                return
             anchors = np.concatenate(seen)
             for row, cell in enumerate(cells(anchors, size)):
                 where, times = np.unique(cell, return_counts=True)
@@ -98,65 +98,65 @@ def sketch(docs: DataFrame, text_col: str, window: int, gram: int, size: int) ->
                 cuts = np.searchsorted(part, np.arange(RANGES + 1))
                 some = [p for p in range(RANGES) if cuts[p] < cuts[p + 1]]
                 pieces = [slice(cuts[p], cuts[p + 1]) for p in some]
+                counts = np.minimum(times, most).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row * RANGES + p for p in some], pa.int32()),
                         pa.array([(where[s] - p * (size // RANGES)).astype("<u4").tobytes() for p, s in zip(some, pieces, strict=True)], pa.binary()),
-                        pa.array([np.packbits(times[s] > 1).tobytes() for s in pieces], pa.binary()),
+                        pa.array([counts[s].tobytes() for s in pieces], pa.binary()),
                     ],
-                    ["part", "cells", "twice"],
+                    ["part", "cells", "counts"],
                 )
-            seen.clear()
 
         for batch in batches:
             raw, offsets = text_of(batch.column(0))
             for low, high in byte_chunks(offsets):
-                chunk = Words(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], window, gram, 1)
-                seen.append(chunk.anchors())
+                seen.append(anchors_of(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]))
                 held += len(seen[-1])
                 if held > 4_000_000:
                     yield from flush()
-                    held = 0
-        yield from flush()
+                    seen, held = [], 0
+        if seen:
+            yield from flush()
 
     def merge(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = np.zeros(size // RANGES, dtype=np.uint8)
+        total = np.zeros(size // RANGES, dtype=np.uint8)
         for part in parts:
-            for where, twice in zip(part.column("cells"), part.column("twice"), strict=True):
+            for where, times in zip(part.column("cells"), part.column("counts"), strict=True):
                 at = np.frombuffer(where.as_buffer(), "<u4")
-                more = np.unpackbits(np.frombuffer(twice.as_buffer(), np.uint8), count=len(at)) + 1
-                reached[at] = np.minimum(2, reached[at] + more)
-        bits = np.packbits(reached > 1).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([bits], pa.binary())], ["part", "bits"])
+                total[at] = np.minimum(total[at].astype(np.uint16) + np.frombuffer(times.as_buffer(), np.uint8), most)
+        bits = [np.packbits(total >= level).tobytes() for level in levels]
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([bits], pa.list_(pa.binary()))], ["part", "bits"])
 
-    touched = docs.select(text_col).mapInArrow(count, "part int, cells binary, twice binary")
-    merged = touched.groupBy("part").applyInArrow(merge, "part int, bits binary").collect()  # 2 * size bits at most
-    out = np.zeros((2 * RANGES, size // RANGES // 8), dtype=np.uint8)
-    for part, bits in merged:
-        out[part] = np.frombuffer(bits, np.uint8)
-    return out.tobytes()
+    touched = docs.select(text_col).mapInArrow(count, "part int, cells binary, counts binary")
+    merged = touched.groupBy("part").applyInArrow(merge, "part int, bits array<binary>")
+    out = [np.zeros((2 * RANGES, size // RANGES // 8), dtype=np.uint8) for _ in levels]
+    for part, bits in merged.toLocalIterator():  # 2 * size bits for each level, whatever the input
+        for table, some in zip(out, bits, strict=True):
+            table[part] = np.frombuffer(some, np.uint8)
+    return [table.tobytes() for table in out]
 
 
-def _reached(bits: np.ndarray, anchors: np.ndarray, size: int) -> np.ndarray:
+def reached(bits: np.ndarray, anchors: np.ndarray, size: int) -> np.ndarray:
+    """Whether both cells of each anchor are set."""
     ok = np.ones(len(anchors), dtype=bool)
     for row, cell in enumerate(cells(anchors, size)):
         ok &= (bits[row * (size // 8) + (cell >> 3)] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
     return ok
 
 
-def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and end positions of the runs of set flags."""
-    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
 def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gram: int = 8, size: int = CELLS) -> DataFrame:
     """(k1, k2, spans): for each distinct text with repeated windows, runs of their first words.
 
     A run is a struct (start, end) of window starts; runs may overlap and come unordered.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(sketch(docs, text_col, window, gram, size))
+
+    def anchors(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return Words(raw, offsets, window, gram, 1).anchors()
+
+    (bits,) = count_cells(docs, text_col, anchors, size)
+    shared = spark.sparkContext.broadcast(bits)
 
     def settle(found: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not found:
@@ -208,7 +208,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gr
                 data = raw[offsets[low] : offsets[high]]
                 bounds = offsets[low : high + 1] - offsets[low]
                 words = Words(data, bounds, window, gram, 2)
-                maybe = _reached(bits, words.grams[words.anchor_at], size)
+                maybe = reached(bits, words.grams[words.anchor_at], size)
                 at = words.at[maybe]
                 if len(at):
                     h = [grams(x, window)[at].view(np.int64) for x in words.hashes]
