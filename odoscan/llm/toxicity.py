@@ -6,7 +6,8 @@ largest responses are kept, and a logistic unit turns them into a score. A text
 length is scored whole. Training uses a bounded sample of labelled rows (``most_rows``),
 whole texts again, with sparse adaptive gradients: only words that a filter picked
 change. Another part of the labelled rows sets each language's threshold, the one with
-the best F1; languages with fewer than ``enough`` toxic rows there use the common one.
+the best F1; languages with fewer than ``enough`` toxic rows there use the common one,
+which is 0.5 if all languages together have fewer.
 
 The score depends on the text alone. Empty and null texts are scored as one blank word.
 Rows without a text of their own, ties and repeated rows are scored like any other row;
@@ -178,8 +179,8 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
 
 
 def calibrate(model: Model, scores: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> None:
-    if not 0 < labels.sum() < len(labels):
-        return
+    if not model.plan.enough <= labels.sum() < len(labels):
+        return  # too few to tell: 0.5 for all
     model.common = best_threshold(scores, labels)
     names = np.array([lang or "" for lang in langs])
     for lang in set(langs):
