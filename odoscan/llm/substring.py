@@ -32,8 +32,8 @@ from odoscan.llm.common import byte_chunks, grams, hash_words, mix64, text_of
 
 #: Cells in each of the two rows of the sketch, and ranges in which partial sketches are merged.
 CELLS, RANGES = 1 << 27, 64
-#: Bytes of text in which equal windows are settled before anything is sent on.
-BLOCK = 24 << 20
+#: Bytes of text, and windows to group, after which equal windows are settled and sent on.
+BLOCK, WINDOWS = 24 << 20, 1_000_000
 
 
 def text_key(text: bytes) -> tuple[int, int]:
@@ -217,7 +217,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gr
                     keys = np.array([text_key(data[bounds[t] : bounds[t + 1]].tobytes()) for t in texts], np.int64).reshape(-1, 2)
                     found.append((*h, keys[which, 0], keys[which, 1], (at - words.first[owner]).astype(np.int64)))
                 held += len(data)
-                if held > BLOCK:
+                if held > BLOCK or sum(len(f[0]) for f in found) > WINDOWS:
                     yield from settle(found)
                     found, held = [], 0
         yield from settle(found)

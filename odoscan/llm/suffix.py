@@ -34,7 +34,7 @@ from odoscan.llm.substring import BLOCK, count_cells, reached, text_key, window_
 #: Bytes of an anchor; cells in each row of the sketch; occurrences from which an anchor is common.
 GRAM, CELLS, COMMON = 40, 1 << 27, 200
 #: Strings compared at a time.
-STRINGS = 3_000_000
+STRINGS = 1_000_000
 
 
 class Rolling:
