@@ -12,10 +12,13 @@ threshold allows: outside it no pair reaches the threshold. Bounds settle most p
 the multiset intersection from above, and equality with it if the shared grams are
 distinct and already in order.
 
-Equal texts are collapsed before and share a class. Within a bucket all members are
-aligned with one leader, those that fail meet the next leader, and so on until nobody
-is left, so the pairs grow with the members and not with their square, and no member is
-dropped. Classes are the connected components of verified links.
+Equal texts are collapsed before and share a class. Buckets that share a member form a
+crowd, found as a connected component without listing pairs. A crowd is cut into blocks
+of bounded size, and every two of its blocks meet in one task. There, pairs are counted
+through an index of grams, never listed; a pair that can reach the threshold is aligned
+unless it is connected already, so a task returns fewer links than it has texts, and no
+text is left out. Classes are the connected components of these verified links, which
+are those of all similar pairs.
 
 Texts without words (null, empty, blank) are copies of one another. Repeated rows are
 copies. An empty table gives no classes. Other columns are ignored.
@@ -25,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ from odoscan.llm.common import LOWER, byte_chunks, grams, hash_words, mix64, num
 from odoscan.llm.components import components
 
 GRAM, SKETCHES, KEPT, THRESHOLD = 5, 32, 5, 0.8
+#: Texts and grams in a block of a crowd.
+MOST_TEXTS, MOST_GRAMS = 1000, 1_000_000
 
 _SEEDS = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -93,7 +97,7 @@ def needed(a: int, b: int, threshold: float) -> int:
 
 
 def banded_common(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Longest common subsequence whose matches lie within ``band`` of the diagonal, 64 columns a word."""
+    """Longest common subsequence whose matches lie within ``band`` of the diagonal; a row is one long integer."""
     where: dict[int, int] = {}
     for j, x in enumerate(b.tolist()):
         where[x] = where.get(x, 0) | (1 << j)
@@ -168,45 +172,97 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, gram: int = GRAM,
     return numbered(columns.mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, n_grams long, keys array<long>"), "row")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float, gram: int) -> DataFrame:
-    """(node, leader, near) for pairs of nodes, from their texts."""
+class _Forest:
+    def __init__(self, size: int):
+        self.up = list(range(size))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+
+def links_between(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """Verified links that connect whatever all similar pairs would connect.
+
+    Pairs are (left, right) or, without ``right``, two of the left ones. Shared grams are
+    counted through an index of the right side's grams; pairs that these counts allow are
+    aligned, the closest first, unless earlier links connect them already.
+    """
+    same = right is None
+    others = left if same else right
+    forest, shift = _Forest(len(left) + (0 if same else len(others))), 0 if same else len(left)
+    marks = [labelled(x) for x in others]
+    sizes = np.array([len(x) for x in others], dtype=np.int64)
+    every = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], np.repeat(np.arange(len(others)), sizes)[order]
+    out = []
+    for i, sequence in enumerate(left):
+        own = marks[i] if same else labelled(sequence)
+        low, high = np.searchsorted(every, own), np.searchsorted(every, own, side="right")
+        count = high - low
+        at = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
+        shared = np.bincount(owner[at], minlength=len(others))
+        least = np.ceil(threshold * (len(own) + sizes) / (1 + threshold) - 1e-9)
+        fit = (shared >= least) & (shared > 0)
+        if same:
+            fit[: i + 1] = False
+        near = np.flatnonzero(fit)
+        for j in near[np.argsort(-shared[near] / (len(own) + sizes[near]), kind="stable")].tolist():
+            a, b = forest.root(i), forest.root(shift + j)
+            if a != b and similar(sequence, others[j], threshold):
+                forest.up[a] = b
+                out.append((i, j))
+    return out
+
+
+def cell_links(cells: DataFrame, threshold: float, gram: int) -> DataFrame:
+    """Links (node, leader) from cells of texts: (crowd, low, high, block, node, text)."""
+
+    def solve(nodes: list[int], blocks: list[int], texts: list[str], cell: tuple) -> list[tuple[int, int]]:
+        data = [t.encode() for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+        raw = np.frombuffer(b"".join(data), np.uint8)
+        found = [g for low, high in byte_chunks(offsets) for g in text_grams(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], gram)]
+        if cell[1] == cell[2]:
+            return [(nodes[a], nodes[b]) for a, b in links_between(found, None, threshold)]
+        left, right = ([i for i, b in enumerate(blocks) if b == side] for side in cell[1:])
+        pairs = links_between([found[i] for i in left], [found[i] for i in right], threshold)
+        return [(nodes[left[a]], nodes[right[b]]) for a, b in pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(64)  # a leader's text comes many times in a row
-        def sequence(text: str) -> np.ndarray:
-            data = np.frombuffer(text.encode(), np.uint8)
-            return text_grams(data, np.array([0, len(data)]), gram)[0]
+        """Cells come whole and one after the other."""
+        cell, waiting, links = None, [], []
+
+        def flush() -> None:
+            if len(waiting) > 1:
+                nodes, blocks, texts = zip(*waiting, strict=True)
+                links.extend(solve(list(nodes), list(blocks), list(texts), cell))
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["node", "leader"]
+            )
 
         for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            near = [similar(sequence(a.as_py()), sequence(b.as_py()), threshold) for a, b in zip(left, right, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.bool_())], ["node", "leader", "near"])
-
-    own = texts.select(F.col("node"), F.col("text").alias("own"))
-    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
-    both = pairs.join(own, "node").join(other, "leader").select("node", "leader", "own", "other")
-    return both.mapInArrow(run, "node long, leader long, near boolean")
-
-
-def near_links(members: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, gram: int = GRAM) -> DataFrame:
-    """Links (node, leader) from buckets (key, node, n_grams), leader by leader."""
-    spark = members.sparkSession
-    links = []
-    while True:
-        leaders = members.groupBy("key").agg(F.min(F.struct("node", "n_grams")).alias("first"), F.count(F.lit(1)).alias("size"))
-        leaders = leaders.filter("size > 1").select("key", F.col("first.node").alias("leader"), F.col("first.n_grams").alias("l_grams"))
-        met = stage(members.join(leaders, "key").filter("node != leader"))
-        if not met.limit(1).count():
-            break
-        possible = met.filter(F.least("n_grams", "l_grams") >= threshold * F.greatest("n_grams", "l_grams") - 1e-6)
-        tested = stage(verified(possible.select("node", "leader").distinct(), texts, threshold, gram))
-        near = tested.filter("near").select("node", "leader")
-        links.append(near)
-        members = met.join(near, ["node", "leader"], "left_anti").select("key", "node", "n_grams")
-    out = spark.createDataFrame([], "node long, leader long")
-    for some in links:
-        out = out.unionByName(some)
-    return out
+            heads = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+            rest = zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)
+            for head, row in zip(heads, rest, strict=True):
+                if head != cell:
+                    flush()
+                    cell, waiting = head, []
+                waiting.append(row)
+            if links:
+                yield out()
+                links = []
+        flush()
+        if links:
+            yield out()
+
+    by = ["crowd", "low", "high"]
+    ordered = cells.select(*by, "block", "node", "text").repartition(*by).sortWithinPartitions(*by)
+    return ordered.mapInArrow(run, "node long, leader long")
 
 
 def near_classes(
@@ -223,17 +279,28 @@ def near_classes(
     class_id is the smallest id in the class; ``keep`` marks one row of each class.
     """
     table = sketch_table(docs, id_col, text_col, gram, count, kept)
-    nodes = stage(table.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")))
+    nodes = stage(table.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.first("n_grams").alias("n_grams"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")))
     alone = table.select("row", "n_grams", "keys").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     keyed = alone.select(F.col("row").alias("node"), "n_grams", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    members = stage(keyed.join(shared, "key").select("key", "node", "n_grams").distinct())
-    wanted = members.select("node").distinct().join(nodes, "node").select("k1", "k2", "node")
+    members = stage(keyed.join(shared, "key").select("key", "node", "n_grams"))
+    # Crowds: everything that sketches connect, verified or not. Similar texts are in one crowd.
+    first = members.groupBy("key").agg(F.min("node").alias("leader"))
+    met = members.join(first, "key").filter("node != leader").select("node", "leader").distinct()
+    crowds = stage(components(met, "node", "leader").withColumnRenamed("label", "crowd"))
+    sized = crowds.join(nodes.select("node", "k1", "k2", "n_grams"), "node")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / MOST_TEXTS), F.ceil(F.sum("n_grams") / MOST_GRAMS)).cast("int")
+    blocks = sized.groupBy("crowd").agg(parts.alias("blocks")).select("crowd", F.greatest("blocks", F.lit(1)).alias("blocks"))
+    placed = sized.join(blocks, "crowd").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    celled = placed.select(
+        "k1", "k2", "node", "crowd", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("k1", "k2", "node", "crowd", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     k1, k2 = digest_columns(F.col(text_col))
     whole = docs.select(F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
     # Copies carry equal texts: one of them is enough.
-    texts = stage(whole.join(wanted, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "text"))
-    links = near_links(members, texts, threshold, gram)
+    wanted = crowds.join(nodes, "node").select("k1", "k2", "node")
+    texts = stage(whole.join(wanted, ["k1", "k2"]).groupBy("node").agg(F.first("text").alias("text")))
+    links = stage(cell_links(celled.drop("k1", "k2").join(texts, "node"), threshold, gram))
     labels = components(links, "node", "leader")
     grouped = stage(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     classes = grouped.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
