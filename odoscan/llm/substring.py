@@ -42,6 +42,7 @@ def text_key(text: bytes) -> tuple[int, int]:
 
 
 _PLACE = np.uint64((1 << 31) - 1)
+_LENGTH = (1 << 31) - 1
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -148,7 +149,8 @@ def reached(bits: np.ndarray, anchors: np.ndarray, size: int) -> np.ndarray:
 def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gram: int = 8, size: int = CELLS) -> DataFrame:
     """(k1, k2, spans): for each distinct text with repeated windows, runs of their first words.
 
-    A run is a struct (start, end) of window starts; runs may overlap and come unordered.
+    A run is a long, the first window's start times 2^31 plus the number of windows; runs
+    may overlap and come unordered.
     """
     spark = docs.sparkSession
 
@@ -174,7 +176,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gr
         send = new
         settled = ~alone
         rows = [
-            (h1[send], h2[send], np.minimum(times, 2).astype(np.int32), k1[send], k2[send], at[send], np.where(alone[send], at[send] + 1, at[send])),
+            (h1[send], h2[send], np.minimum(times, 2), k1[send], k2[send], at[send], np.where(alone[send], at[send] + 1, at[send])),
         ]
         # Settled windows travel as runs, under a hash of their own text.
         s1, s2, sat = k1[settled], k2[settled], at[settled]
@@ -190,13 +192,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gr
             head = np.flatnonzero(begin)
             last = np.append(head[1:], len(sat)) - 1
             lone = mix64(s1[head].view(np.uint64) ^ mix64(sat[head])).view(np.int64)
-            rows.append((lone, s2[head], np.full(len(head), 3, np.int32), s1[head], s2[head], sat[head], sat[last] + 1))
+            rows.append((lone, s2[head], np.full(len(head), 3), s1[head], s2[head], sat[head], sat[last] + 1))
         for h1, h2, times, k1, k2, start, end in rows:
+            place = start << 33 | (end - start) << 2 | times  # one long instead of three columns
             for i in range(0, len(h1), 50_000):
                 part = slice(i, i + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[part]) for x in (h1, h2, times, k1, k2, start, end)], ["h1", "h2", "times", "k1", "k2", "start", "end"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (h1, h2, k1, k2, place)], ["h1", "h2", "k1", "k2", "place"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -222,12 +223,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35, gr
                     found, held = [], 0
         yield from settle(found)
 
-    schema = "h1 long, h2 long, times int, k1 long, k2 long, start long, end long"
-    met = docs.select(text_col).mapInArrow(windows, schema)
-    total = F.sum(F.when(F.col("times") < 3, F.col("times")).otherwise(0)).over(Window.partitionBy("h1", "h2"))
-    # A run of settled windows has times 3 and needs no company; a row without a place has start = end.
-    kept = met.withColumn("total", total).filter("end > start and (times = 3 or total > 1)")
-    return kept.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    met = docs.select(text_col).mapInArrow(windows, "h1 long, h2 long, k1 long, k2 long, place long")
+    times, length = F.col("place").bitwiseAND(F.lit(3)), F.shiftright("place", 2).bitwiseAND(F.lit(_LENGTH))
+    total = F.sum(F.when(times < 3, times).otherwise(0)).over(Window.partitionBy("h1", "h2"))
+    # A run of settled windows has times 3 and needs no company; a row without a place has length 0.
+    kept = met.withColumn("total", total).filter((length > 0) & ((times == 3) | (F.col("total") > 1)))
+    return kept.groupBy("k1", "k2").agg(F.collect_set(F.shiftright("place", 2)).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, gram: int = 8, size: int = CELLS) -> DataFrame:
@@ -250,8 +251,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             raw, offsets = text_of(batch.column(1))
             lists = batch.column(2)
             sizes = lists.value_lengths().fill_null(0).to_numpy()
-            runs = lists.flatten()
-            begin, end = runs.field(0).to_numpy(), runs.field(1).to_numpy()
+            runs = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            begin, end = runs >> 31, (runs >> 31) + (runs & _LENGTH)
             at = np.concatenate([[0], np.cumsum(sizes)])
             for low, high in byte_chunks(offsets):
                 data = raw[offsets[low] : offsets[high]]

@@ -45,8 +45,9 @@ def token_bytes(path: str) -> np.ndarray:
 
 def char_spans(text: str, data: bytes, path: str) -> tuple[np.ndarray, np.ndarray]:
     """First and end character of each token of a text."""
-    ends = np.cumsum(token_bytes(path)[vocabulary(path).encode_to_numpy(text, disallowed_special=())])
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    widths = token_bytes(path)[vocabulary(path).encode_to_numpy(text, disallowed_special=())]
+    ends = np.cumsum(widths)
+    starts = ends - widths
     if len(data) == len(text):
         return starts, ends
     lead = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
