@@ -154,6 +154,13 @@ def in_order(df: DataFrame, track: Track) -> WindowSpec:
     return Window.partitionBy(track.entity).orderBy(*track.order)
 
 
+def in_reverse(df: DataFrame, track: Track) -> WindowSpec:
+    """The same window from the end: looking ahead there is a running frame, not one that starts anew at each row."""
+    if BLOCK in df.columns:
+        return Window.partitionBy(track.entity, BLOCK).orderBy(F.desc(SEQ))
+    return Window.partitionBy(track.entity).orderBy(*[F.desc(c) for c in track.order])
+
+
 def position(df: DataFrame, track: Track) -> Column:
     """Zero-based row number within the series."""
     if SEQ in df.columns:
@@ -202,12 +209,12 @@ def look_around(
     cut = BLOCK in df.columns
     if cut:
         df = stage(df)
-    here = in_order(df, track)
-    first_row, last_row = Window.unboundedPreceding, Window.unboundedFollowing
+    here, back = in_order(df, track), in_reverse(df, track)
+    first_row = Window.unboundedPreceding
     hits = {n: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for n, c in counts.items()}
     local = {n: F.last(e, ignorenulls=True).over(here.rowsBetween(first_row, 0)) for n, e in last.items()}
     local |= {n: F.last(e, ignorenulls=True).over(here.rowsBetween(first_row, -1)) for n, e in before.items()}
-    local |= {n: F.first(e, ignorenulls=True).over(here.rowsBetween(0, last_row)) for n, e in ahead.items()}
+    local |= {n: F.last(e, ignorenulls=True).over(back.rowsBetween(first_row, 0)) for n, e in ahead.items()}
     local |= {n: F.sum(h).over(here.rowsBetween(first_row, 0)) for n, h in hits.items()}
     if not cut:
         return df.withColumns(local)
@@ -224,11 +231,12 @@ def look_around(
         *[F.sum(h).alias(n) for n, h in hits.items()],
     )
     blocks = Window.partitionBy(track.entity).orderBy(BLOCK)
-    prior, later = blocks.rowsBetween(first_row, -1), blocks.rowsBetween(1, last_row)
+    prior = blocks.rowsBetween(first_row, -1)
+    later = Window.partitionBy(track.entity).orderBy(F.desc(BLOCK)).rowsBetween(first_row, -1)
     carried = summary.select(
         *by,
         *[F.last(n, ignorenulls=True).over(prior).alias(f"_carried_{n}") for n in backward],
-        *[F.first(n, ignorenulls=True).over(later).alias(f"_carried_{n}") for n in ahead],
+        *[F.last(n, ignorenulls=True).over(later).alias(f"_carried_{n}") for n in ahead],
         *[F.sum(n).over(prior).alias(f"_carried_{n}") for n in hits],
     )
     joined = df.withColumns(local).join(carried, by, "left")
