@@ -9,7 +9,7 @@ import numpy as np
 from odoscan.llm.common import hash_words
 
 #: Words remembered per worker before the memory is cleared.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Words encoded in one call.
 TOGETHER = 64
 
