@@ -60,7 +60,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: No stage but the mix could be said in SQL; tests compare each with a brute-force version.
+#: SQL cannot express the stages; tests compare the operators with brute-force versions.
 ORACLE_SQL = None
 
 
