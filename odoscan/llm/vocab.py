@@ -10,8 +10,9 @@ from odoscan.llm.common import hash_words
 
 #: Words remembered per worker before the memory is cleared.
 REMEMBERED = 250_000
-#: Words encoded in one call.
+#: Words encoded as one text, and such texts encoded in one call.
 TOGETHER = 64
+CALL = 64
 
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -44,7 +45,10 @@ class WordEncoder:
         """Ids of each word; words are encoded side by side and told apart by their offsets."""
         out = []
         sets = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        for some, found in zip(sets, self.model.encode_batch([" ".join(s) for s in sets], add_special_tokens=False), strict=True):
+        encodings = (
+            found for i in range(0, len(sets), CALL) for found in self.model.encode_batch([" ".join(s) for s in sets[i : i + CALL]], add_special_tokens=False)
+        )
+        for some, found in zip(sets, encodings, strict=True):
             ends = np.cumsum([len(w) + 1 for w in some])
             ids = np.asarray(found.ids, self.kind)
             first = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
