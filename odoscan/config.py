@@ -95,10 +95,12 @@ class Settings:
     neighbours: int = 5
     max_clusters: int = 10
     restarts: int = 10
+    cluster_rounds: int = 300
     eps: float = 0.5
     min_samples: int = 5
     contamination: float = 0.01
     trees: int = 100
+    forest_depth: int = 30  # Spark's deepest tree
     boosting_rounds: int = 100
     learning_rate: float = 0.1
     network_rounds: int = 500
@@ -107,6 +109,7 @@ class Settings:
     block_rows: int = 2_000_000
     broadcast_rows: int = 100_000
     exact_group_rows: int = 4_000_000
+    fits_at_once: int = 4  # independent model fits submitted side by side
 
     # False: build the features the original column names left dead.
     compat: bool = False

@@ -40,6 +40,8 @@ def blend_detectors(df: DataFrame, settings: Settings = Settings()) -> DataFrame
         del sources["cluster"]
     parts = [value * F.lit(DETECTOR_WEIGHTS[name]) for name, (column, value) in sources.items() if column in df.columns]
     scored = over_maximum(df.withColumn("Ensemble_Score", _weighted(parts)), "Ensemble_Score")
+    # Equal blends added up in another order stay equal.
+    scored = scored.withColumn("Ensemble_Score", F.round("Ensemble_Score", 12))
     cut = quantiles(scored, ["Ensemble_Score"], [0.95], settings=settings).scalar()
     return scored.withColumn("Predicted_Anomaly", flag(F.col("Ensemble_Score") > cut[0]))
 

@@ -268,13 +268,16 @@ def feature_projection(spark, sf_dir):
 
 @query(
     "column_summary",
-    """SELECT column_name, data_type, count(*) AS rows, count(*) - count(v) AS nulls, count(DISTINCT v) AS distinct_values FROM (
-  SELECT 'o_orderstatus' AS column_name, 'string' AS data_type, o_orderstatus AS v FROM orders UNION ALL
-  SELECT 'o_orderpriority', 'string', o_orderpriority FROM orders UNION ALL
-  SELECT 'o_custkey', 'bigint', CAST(o_custkey AS VARCHAR) FROM orders) GROUP BY ALL""",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values FROM orders"
+        for c, kind in (
+            ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+            ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
+        )
+    ),
 )
 def column_summary(spark, sf_dir):
-    return summaries.column_summary(table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority", "o_custkey"))
+    return summaries.column_summary(table(spark, sf_dir, "orders"))
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from odoscan.config import Settings
 from odoscan.models import classifiers, clusters, components, density, isolation, metrics, neighbours, sampling, scaling, store, unsupervised
-from odoscan.operators import rules
+from odoscan.operators import rules, shaping
 from odoscan.operators.features import build_features
 from odoscan.operators.ordering import shared_folder, stage
 from odoscan.plans import prediction
@@ -17,12 +17,6 @@ from odoscan.plans.registry import query, r, rounded
 from odoscan.plans.sql import FEATURED, RULES, SCORED, STEPS
 from odoscan.plans.views import featured, labelled, profiled, scored, stepped, table, telemetry, telemetry_raw
 
-# Fewer trees and rounds than the defaults: these queries show the flow on every row, not the best model.
-LIGHT = replace(Settings(), trees=20, boosting_rounds=10, network_rounds=50, restarts=3, max_clusters=6)
-FEATURES = [
-    "total_fuel", "speed_raw", "Time_Diff", "Fuel_Diff", "Fuel_Rate", "Hour", "Is_NightTime", "Is_Stationary",
-    "Stationary_Duration", "Time_Since_Refuel",
-]
 _SCALED = ["total_fuel", "Fuel_Diff", "Time_Since_Refuel", "Is_Stationary", "IsWeekend"]
 
 
@@ -202,13 +196,13 @@ def pca_embeddings(spark, sf_dir):
 
 @query("kmeans_search")
 def kmeans_search(spark, sf_dir):
-    return spark.createDataFrame(clusters.search_k(_embedded(spark, sf_dir), "v", LIGHT), "k int, silhouette double")
+    return spark.createDataFrame(clusters.search_k(_embedded(spark, sf_dir), "v"), "k int, silhouette double")
 
 
 @query("kmeans")
 def kmeans(spark, sf_dir):
     rows = _embedded(spark, sf_dir)
-    labels, _ = clusters.cluster(rows, "v", 4, LIGHT)
+    labels, _ = clusters.cluster(rows, "v", clusters.best_k(clusters.search_k(rows, "v")))
     return labels.select("rec_id", clusters.CLUSTER)
 
 
@@ -276,19 +270,27 @@ def dbscan(spark, sf_dir):
     return density.dbscan(rows, "v", settings=replace(Settings(), eps=0.0503)).select("rec_id", density.LABEL)
 
 
+def _built(spark, sf_dir):
+    """Rows with all features, and the features' names."""
+    built, _ = build_features(telemetry(spark, sf_dir))
+    return built, shaping.feature_columns(built)
+
+
+def _scaled_features(spark, sf_dir):
+    built, names = _built(spark, sf_dir)
+    return stage(built.select("rec_id", scaling.fit_preparation(built, names).as_array().alias("v")))
+
+
 @query("dbscan_features")
 def dbscan_features(spark, sf_dir):
     """All features at the default reach, where most rows are noise."""
-    scaled = scaling.scaled_matrix(featured(spark, sf_dir).select("rec_id", *FEATURES), FEATURES)
-    rows = stage(scaled.select("rec_id", F.array(*FEATURES).alias("v")))
+    rows = _scaled_features(spark, sf_dir)
     return density.dbscan(rows, "v").select("rec_id", density.LABEL)
 
 
 @query("isolation_forest")
 def isolation_forest(spark, sf_dir):
-    scaled = scaling.scaled_matrix(featured(spark, sf_dir).select("rec_id", *FEATURES), FEATURES)
-    rows = stage(scaled.select("rec_id", F.array(*FEATURES).alias("v")))
-    return isolation.isolation_forest(rows, "v").drop("v")
+    return isolation.isolation_forest(_scaled_features(spark, sf_dir), "v").drop("v")
 
 
 @query(
@@ -314,58 +316,67 @@ SELECT "Stationary_drain", original, (SELECT max(original) FROM c) - original AS
 )
 def smote(spark, sf_dir):
     """Rows and synthetic rows per class after balancing."""
-    rows = stage(labelled(stepped(spark, sf_dir)).filter("Fuel_Diff is not null or Stationary_drain = 0"))
+    rows = stage(labelled(stepped(spark, sf_dir)))
     vectors = rows.select("rec_id", "Stationary_drain", F.array("total_fuel", F.coalesce("Fuel_Diff", F.lit(0.0)), "speed_raw").alias("v"))
     balanced = sampling.oversample(vectors, "v")
     return balanced.groupBy("Stationary_drain").agg(F.count("rec_id").alias("original"), F.count_if(F.col("rec_id").isNull()).alias("synthetic"))
 
 
 def _training_rows(spark, sf_dir):
-    return stage(labelled(featured(spark, sf_dir), noisy=True).select("rec_id", *FEATURES, "Stationary_drain"))
+    built, names = _built(spark, sf_dir)
+    return stage(labelled(built, noisy=True).select("rec_id", *names, "Stationary_drain")), names
+
+
+_TRAINED: dict[tuple[str, str], classifiers.Trained] = {}
+
+
+def _trained(spark, sf_dir):
+    """All classifiers on all features, fitted once per session and folder."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _TRAINED:
+        _TRAINED[key] = classifiers.train(*_training_rows(spark, sf_dir))
+    return _TRAINED[key]
 
 
 @query("classifiers")
 def compare_classifiers(spark, sf_dir):
-    trained = classifiers.train(_training_rows(spark, sf_dir), FEATURES, settings=LIGHT)
-    return metrics.rank_models(trained.scores)
+    return metrics.rank_models(_trained(spark, sf_dir).scores)
 
 
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
-    return classifiers.cross_validate(_training_rows(spark, sf_dir), FEATURES, "logistic_regression", settings=LIGHT)
+    """The best classifier, over all folds."""
+    rows, names = _training_rows(spark, sf_dir)
+    return classifiers.cross_validate(rows, names, _trained(spark, sf_dir).best)
 
 
 @query("importance")
 def importance(spark, sf_dir):
     """Features by mean importance over the tree models."""
-    trees = ["random_forest", "boosted_trees"]
-    trained = classifiers.train(_training_rows(spark, sf_dir), FEATURES, settings=LIGHT, names=trees)
-    return classifiers.mean_importance(classifiers.importance(trained.models, FEATURES, spark), 10)
+    trained = _trained(spark, sf_dir)
+    return classifiers.mean_importance(classifiers.importance(trained.models, trained.features, spark), 10)
 
 
-def _saved(spark, sf_dir, names):
-    trained = classifiers.train(_training_rows(spark, sf_dir), FEATURES, settings=LIGHT, names=names)
-    return store.save_models(trained, f"{shared_folder(spark)}/models-{uuid.uuid4().hex}")
+def _saved(spark, sf_dir):
+    return store.save_models(_trained(spark, sf_dir), f"{shared_folder(spark)}/models-{uuid.uuid4().hex}")
 
 
 @query("predict_batch")
 def predict_batch(spark, sf_dir):
     """Raw rows through cleaning, features and a model loaded from its saved form."""
-    folder = _saved(spark, sf_dir, ["logistic_regression"])
+    folder = _saved(spark, sf_dir)
     return prediction.predict(store.load_best(spark, folder), telemetry_raw(spark, sf_dir))
 
 
 @query("compare_models")
 def compare_models(spark, sf_dir):
-    folder = _saved(spark, sf_dir, ["logistic_regression", "random_forest"])
-    return prediction.compare(spark, folder, _training_rows(spark, sf_dir))
+    return prediction.compare(spark, _saved(spark, sf_dir), _training_rows(spark, sf_dir)[0])
 
 
 @query("detectors")
 def detectors(spark, sf_dir):
     """Every detector and the blended unsupervised score per row."""
-    rows = stage(rules.rule_score(profiled(spark, sf_dir)).select("rec_id", *FEATURES, "Anomaly_Score"))
-    detected, _ = unsupervised.detect(rows, FEATURES, settings=LIGHT)
+    detected, _ = unsupervised.detect(*_built(spark, sf_dir))
     return detected.select(
         "rec_id", clusters.CLUSTER, "Is_Suspicious_Cluster", density.LABEL, "IsoForest_Score", "IsoForest_Anomaly", "Ensemble_Score", "Predicted_Anomaly"
     )

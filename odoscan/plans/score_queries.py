@@ -36,9 +36,9 @@ detected AS (
   FROM ruled),
 blend AS (SELECT *, 0.3::DOUBLE * "Anomaly_Score" + 0.25::DOUBLE * CAST("DBSCAN_Cluster" = -1 AS INTEGER)
     + 0.25::DOUBLE * "IsoForest_Anomaly" + 0.2::DOUBLE * "Is_Suspicious_Cluster" AS s FROM detected),
-ensemble AS (SELECT *, s / (SELECT max(s) FROM blend) AS "Ensemble_Score" FROM blend),
+ensemble AS (SELECT *, round(s / (SELECT max(s) FROM blend), 12) AS "Ensemble_Score" FROM blend),
 cut AS (SELECT quantile_cont("Ensemble_Score", 0.95) AS q FROM ensemble),
-called AS (SELECT *, CAST("Ensemble_Score" > q + 1e-9 AS INTEGER) AS "Predicted_Anomaly" FROM ensemble, cut)"""
+called AS (SELECT *, CAST("Ensemble_Score" > q AS INTEGER) AS "Predicted_Anomaly" FROM ensemble, cut)"""
 )
 
 
