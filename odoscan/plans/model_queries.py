@@ -327,38 +327,40 @@ def _training_rows(spark, sf_dir):
     return stage(labelled(built, noisy=True).select("rec_id", *names, "Stationary_drain")), names
 
 
-_TRAINED: dict[tuple[str, str], classifiers.Trained] = {}
+_TRAINED: dict[tuple[str, str], tuple] = {}
 
 
 def _trained(spark, sf_dir):
-    """All classifiers on all features, fitted once per session and folder."""
+    """All classifiers on all features and the rows behind them, built once per session and folder."""
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _TRAINED:
-        _TRAINED[key] = classifiers.train(*_training_rows(spark, sf_dir))
+        rows, names = _training_rows(spark, sf_dir)
+        _TRAINED[key] = classifiers.train(rows, names), rows
     return _TRAINED[key]
 
 
 @query("classifiers")
 def compare_classifiers(spark, sf_dir):
-    return metrics.rank_models(_trained(spark, sf_dir).scores)
+    trained, _ = _trained(spark, sf_dir)
+    return metrics.rank_models(trained.scores)
 
 
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
     """The best classifier, over all folds."""
-    rows, names = _training_rows(spark, sf_dir)
-    return classifiers.cross_validate(rows, names, _trained(spark, sf_dir).best)
+    trained, rows = _trained(spark, sf_dir)
+    return classifiers.cross_validate(rows, trained.features, trained.best)
 
 
 @query("importance")
 def importance(spark, sf_dir):
     """Features by mean importance over the tree models."""
-    trained = _trained(spark, sf_dir)
+    trained, _ = _trained(spark, sf_dir)
     return classifiers.mean_importance(classifiers.importance(trained.models, trained.features, spark), 10)
 
 
 def _saved(spark, sf_dir):
-    return store.save_models(_trained(spark, sf_dir), f"{shared_folder(spark)}/models-{uuid.uuid4().hex}")
+    return store.save_models(_trained(spark, sf_dir)[0], f"{shared_folder(spark)}/models-{uuid.uuid4().hex}")
 
 
 @query("predict_batch")
@@ -370,7 +372,7 @@ def predict_batch(spark, sf_dir):
 
 @query("compare_models")
 def compare_models(spark, sf_dir):
-    return prediction.compare(spark, _saved(spark, sf_dir), _training_rows(spark, sf_dir)[0])
+    return prediction.compare(spark, _saved(spark, sf_dir), _trained(spark, sf_dir)[1])
 
 
 @query("detectors")
