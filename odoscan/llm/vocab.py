@@ -8,8 +8,8 @@ import numpy as np
 
 from odoscan.llm.common import hash_words
 
-#: Words remembered per worker before the memory is cleared.
-REMEMBERED = 250_000
+#: Words remembered per worker, at some 35 bytes each, before the memory is cleared.
+REMEMBERED = 1_000_000
 #: Words encoded as one text, and such texts encoded in one call.
 TOGETHER = 64
 CALL = 64
@@ -37,7 +37,6 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.cores: dict[str, bytes] = {}
         self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, self.kind)
 
@@ -66,9 +65,9 @@ class WordEncoder:
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         """Add distinct words under their hashes."""
         split = [self._core(w) for w in words]
-        new = [c for c in {c for c, _ in split} if c not in self.cores]
-        self.cores.update(zip(new, self._encoded(new), strict=True))
-        ids = [self.cores[c] + self.marks[m] if m else self.cores[c] for c, m in split]
+        new = list(dict.fromkeys(c for c, _ in split))
+        cores = dict(zip(new, self._encoded(new), strict=True))
+        ids = [cores[c] + self.marks[m] if m else cores[c] for c, m in split]
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.flat.itemsize
         at = len(self.flat) + np.cumsum(size) - size
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), self.kind)])
