@@ -4,7 +4,10 @@ A text is its sequence of grams of five lower-cased words; a shorter text with w
 one gram. The n-th occurrence of a gram is labelled n. Each sketch hashes all labelled
 grams, takes the smallest few and keeps them in text order, so two texts share it only
 if the same grams survive in the same order: the chance falls with edits and moves.
-Texts that share a sketch meet in a bucket.
+Texts that share a sketch meet in a bucket. Sketches of few grams tell too much, so a
+short text (at the threshold 0.8, up to 14 grams) is also keyed by every sequence that
+deleting the grams it may lack in a similar text can leave. Two similar short texts
+have such a sequence in common and always meet.
 
 The similarity of two texts is m / (a + b - m), where a and b are their gram counts and
 m the length of a common subsequence of grams in a diagonal band that is as wide as the
@@ -18,7 +21,8 @@ of bounded size, and every two of its blocks meet in one task. There, pairs are
 through an index of grams, never listed; a pair that can reach the threshold is aligned
 unless it is connected already, so a task returns fewer links than it has texts, and no
 text is left out. Classes are the connected components of these verified links, which
-are those of all similar pairs.
+are those of all similar pairs that meet: every pair of short texts, and longer ones
+but for the chance that no sketch is shared.
 
 Texts without words (null, empty, blank) are copies of one another. Repeated rows are
 copies. An empty table gives no classes. Other columns are ignored.
@@ -28,6 +32,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +47,8 @@ from odoscan.llm.components import components
 GRAM, SKETCHES, KEPT, THRESHOLD = 5, 32, 5, 0.8
 #: Texts and grams in a block of a crowd.
 MOST_TEXTS, MOST_GRAMS = 1000, 1_000_000
+#: Exact keys of a short text.
+MOST_EXACT = 128
 
 _SEEDS = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -91,6 +100,47 @@ def sketches(sequence: np.ndarray, count: int = SKETCHES, kept: int = KEPT) -> n
     return keys
 
 
+def spare(n: int, threshold: float) -> int:
+    """Most grams that a text of n grams may lack in a similar text."""
+    return min(int((1 - threshold) * n + 1e-9), n - 1)
+
+
+@lru_cache
+def short(threshold: float, kept: int) -> int:
+    """Most grams of a short text; texts that have fewer grams than a sketch keeps find only short ones similar."""
+    n = 1
+    while n < 64 and sum(comb(n + 1, d) for d in range(spare(n + 1, threshold) + 1)) <= MOST_EXACT:
+        n += 1
+    return max(n, int((kept - 1) / threshold + 1e-9))
+
+
+@lru_cache(256)
+def _left(n: int, gone: int) -> np.ndarray:
+    """Places that stay when ``gone`` of n are deleted, one row per way."""
+    return np.array(list(combinations(range(n), n - gone)), dtype=np.int64)
+
+
+def exact_keys(sequence: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Keys of all sequences that deleting as many grams as a similar text may lack can leave."""
+    out = []
+    for gone in range(spare(len(sequence), threshold) + 1):
+        picked = sequence[_left(len(sequence), gone)]
+        keys = np.full(len(picked), len(sequence) - gone, dtype=np.uint64)
+        for j in range(picked.shape[1]):
+            keys = mix64((keys + picked[:, j]) * np.uint64(0xD6E8FEB86659FD93))
+        out.append(keys)
+    return np.unique(np.concatenate(out))
+
+
+def meeting_keys(sequence: np.ndarray, count: int = SKETCHES, kept: int = KEPT, threshold: float = THRESHOLD) -> np.ndarray:
+    """Sketches, exact keys, or both for a short text that longer ones may be similar to."""
+    n, most = len(sequence), short(threshold, kept)
+    if not n or n > most:
+        return sketches(sequence, count, kept)
+    exact = exact_keys(sequence, threshold)
+    return exact if n + 1e-9 < threshold * (most + 1) else np.concatenate([sketches(sequence, count, kept), exact])
+
+
 def needed(a: int, b: int, threshold: float) -> int:
     """Fewest common grams with which two texts of a and b grams reach the threshold."""
     return int(np.ceil(threshold * (a + b) / (1 + threshold) - 1e-9))
@@ -144,7 +194,7 @@ def digest_columns(text: Column) -> list[Column]:
     return [F.conv(F.substring(found, 1 + 16 * i, 16), 16, -10).cast("long") for i in range(2)]
 
 
-def sketch_table(docs: DataFrame, id_col: str, text_col: str, gram: int = GRAM, count: int = SKETCHES, kept: int = KEPT) -> DataFrame:
+def sketch_table(docs: DataFrame, id_col: str, text_col: str, gram: int = GRAM, count: int = SKETCHES, kept: int = KEPT, threshold: float = THRESHOLD) -> DataFrame:
     """(row, doc_id, k1, k2, n_grams, keys) for every row of ``docs``, written once."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -155,7 +205,7 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, gram: int = GRAM,
             for low, high in byte_chunks(offsets):
                 data, bounds = raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 found = text_grams(data, bounds, gram)
-                keys = [sketches(g, count, kept).view(np.int64) for g in found]
+                keys = [meeting_keys(g, count, kept, threshold).view(np.int64) for g in found]
                 digests = [_digest(data[a:b].tobytes()) if len(g) else empty for g, a, b in zip(found, bounds, bounds[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -278,7 +328,7 @@ def near_classes(
 
     class_id is the smallest id in the class; ``keep`` marks one row of each class.
     """
-    table = sketch_table(docs, id_col, text_col, gram, count, kept)
+    table = sketch_table(docs, id_col, text_col, gram, count, kept, threshold)
     nodes = stage(table.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.first("n_grams").alias("n_grams"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")))
     alone = table.select("row", "n_grams", "keys").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     keyed = alone.select(F.col("row").alias("node"), "n_grams", F.explode("keys").alias("key"))

@@ -148,6 +148,48 @@ def test_near_classes(docs, empty):
     assert kept.count() == len({r["class_id"] for r in got.values()}) and kept.columns == docs.columns
 
 
+def test_short_similar_texts_always_meet():
+    rng = random.Random(6)
+    most = order_minhash.short(0.8, 5)
+    assert most >= 12
+    meet = lost = 0
+    for _ in range(3000):
+        letters = rng.choice([2, 5, 40])
+        a = [rng.randrange(letters) for _ in range(rng.randint(1, most))]
+        b = a[:]
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = [rng.randrange(letters)] * rng.randint(0, 1)
+        if 0 < len(b) <= most and order_minhash.similar(*(np.array(x, np.uint64) for x in (a, b))):
+            keys = [order_minhash.meeting_keys(np.array(x, np.uint64)) for x in (a, b)]
+            meet += a != b
+            lost += not np.intersect1d(*keys).size
+    assert meet > 300 and not lost
+    for threshold in (0.5, 0.7, 0.9):  # every two lengths that can be similar
+        for n in range(1, 13):
+            for m in range(n, 13):
+                a, b = np.arange(n, dtype=np.uint64), np.arange(m, dtype=np.uint64)
+                if order_minhash.similar(a, b, threshold) and m <= order_minhash.short(threshold, 5):
+                    assert np.intersect1d(*(order_minhash.meeting_keys(x, threshold=threshold) for x in (a, b))).size
+
+
+def test_classes_of_short_texts_equal_brute_force(spark):
+    texts = []
+    for n in range(1, 17):  # 1 to 12 grams, a word more before or behind, one changed in the middle
+        base = words(n, 500 + n).split()
+        texts += [" ".join(x) for x in (base, ["new", *base], [*base, "new"], [*base[: n // 2], "new", *base[n // 2 + 1 :]])]
+    split = [t.lower().split() for t in texts]
+    found = [[hash(tuple(w[k : k + 5])) % (1 << 64) for k in range(max(1, len(w) - 4))] for w in split]
+    up = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            m = common_length(found[a], found[b])
+            if m / (len(found[a]) + len(found[b]) - m) >= 0.8 - 1e-9 and up[a] != up[b]:
+                up = [min(up[a], up[b]) if x in (up[a], up[b]) else x for x in up]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {i: r["class_id"] for i, r in by_id(order_minhash.near_classes(frame)).items()} == dict(enumerate(up))
+
+
 def test_links_in_blocks_connect_what_all_pairs_connect():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 60, 120).astype(np.uint64)
