@@ -2,11 +2,14 @@
 
 A source's rows are cut into blocks. With weight w, block i of a source is released at
 slot floor(i / w) and due by slot ceil((i + 1) / w); of the released blocks the one due
-first gets the next slot. Weights are whole numbers of slots in a cycle, so the schedule
-repeats after ``cycle`` slots and only one cycle is worked out, on the driver, whatever
-the size of the sources. While all sources last, each is less than one block ahead of or
-behind its share at every slot. A source that has run out leaves its slots empty and
-the others keep their order; no row is dropped or repeated.
+first gets the next slot. Weights are exact ratios of integers and nothing repeats, so
+while all sources last each is less than one block ahead of or behind its given share
+at every slot, however many there are. A source that has run out takes no more slots,
+and the others stay within their windows; no row is dropped or repeated.
+
+Which block is next depends on all blocks before, so one task works the schedule out, a
+step per block and not per row, and writes it as it goes; its memory holds one entry
+per source. Rows then find their block's slot by a join.
 
 A null source is a source. Sources without a given weight get the smallest given one.
 Repeated rows are different rows in equal places; an empty table gives no row.
@@ -15,16 +18,20 @@ Repeated rows are different rows in equal places; an empty table gives no row.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odoscan.llm.common import ranked
+from odoscan.llm.common import ranked, stage
 
 
 def shares(weights: Mapping, cycle: int) -> dict:
-    """Whole slots per cycle by largest remainder, at least one for each source."""
+    """Whole slots per cycle by largest remainder, at least one for each source; ``mix`` does not round."""
     if len(weights) > cycle:
         raise ValueError("the cycle must have a slot for every source")
     if any(not w > 0 for w in weights.values()):
@@ -42,23 +49,47 @@ def shares(weights: Mapping, cycle: int) -> dict:
     return slots
 
 
-def cycle_slots(slots: Mapping, cycle: int) -> list[tuple]:
-    """(source, block in the cycle, slot) by earliest deadline first among released blocks."""
-    if not slots:
-        return []
-    waiting = [(0, str(s), s, 0) for s in slots]  # release, tie, source, block
+def ratios(weights: Sequence) -> list[int]:
+    """Integers in exactly the proportions of the weights."""
+    if any(not w > 0 for w in weights):
+        raise ValueError("weights must be positive")
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*[x.denominator for x in exact])
+    whole = [int(x * scale) for x in exact]
+    common = math.gcd(*whole)
+    return [x // common for x in whole]
+
+
+def schedule(parts: Sequence[int], blocks: Sequence[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of every block, by slot; the earliest deadline first among released blocks.
+
+    Source s has ``blocks[s]`` blocks and the share ``parts[s] / sum(parts)``.
+    """
+    total = sum(parts)
+    waiting = [(0, s, 0) for s, n in enumerate(blocks) if n]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple] = []
-    out = []
-    for slot in range(cycle):
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
-            _, tie, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * cycle // slots[s]), tie, s, i))
-        _, tie, s, i = heapq.heappop(ready)
-        out.append((s, i, slot))
-        if i + 1 < slots[s]:
-            heapq.heappush(waiting, ((i + 1) * cycle // slots[s], tie, s, i + 1))
-    return out
+            release, s, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(i + 1) * total // parts[s]), s, i, release))
+        deadline, s, i, release = heapq.heappop(ready)
+        yield s, i, release, deadline, slot
+        if i + 1 < blocks[s]:
+            heapq.heappush(waiting, ((i + 1) * total // parts[s], s, i + 1))
+        slot += 1
+
+
+def cycle_slots(slots: Mapping, cycle: int) -> list[tuple]:
+    """(source, block in the cycle, slot) for whole slots that add up to the cycle."""
+    names = sorted(slots, key=str)
+    counts = [slots[s] for s in names]
+    if counts and sum(counts) != cycle:
+        raise ValueError("the slots must add up to the cycle")
+    return [(names[s], i, slot) for s, i, _, _, slot in schedule(counts, counts)]
 
 
 def mix(
@@ -73,36 +104,37 @@ def mix(
     """Add _block, _release, _deadline, _slot and _place (within the block) to every row.
 
     ``order`` names columns that fix the order of a source's rows. Without ``weights`` a
-    source's weight is its row count to the given power. The number of sources must not
-    exceed ``cycle``; nothing else that reaches the driver depends on the input.
+    source's weight is its row count to the given power. One row per source reaches the
+    driver. ``cycle`` is the number of blocks of the schedule that are written at a time;
+    the result does not depend on it.
     """
     spark = docs.sparkSession
-    counts = docs.groupBy(source_col).count().limit(cycle + 1).collect()
-    present = {r[source_col]: r["count"] for r in counts}
+    counts = docs.groupBy(source_col).count().collect()
+    present = sorted(((r[source_col], r["count"]) for r in counts), key=lambda x: (str(x[0]), x[0] is None))
     if weights is None:
-        targets = {s: float(n) ** power for s, n in present.items()}
+        targets = [float(n) ** power for _, n in present]
     else:
         smallest = min(weights.values(), default=1.0)
-        targets = {s: float(weights.get(s, smallest)) for s in present}
-    given = shares(targets, cycle) if targets else {}
+        targets = [weights.get(s, smallest) for s, _ in present]
+    parts, blocks = ratios(targets), [-(-n // block) for _, n in present]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in (row for batch in batches for row in range(len(batch))):
+            rows = schedule(parts, blocks)
+            while some := list(islice(rows, cycle)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in zip(*some, strict=True)], ["_s", "_i", "_release", "_deadline", "_slot"]
+                )
+
+    table = stage(spark.range(0, 1, 1, 1).mapInArrow(run, "_s long, _i long, _release long, _deadline long, _slot long"))
     kind = docs.schema[source_col].dataType.simpleString()
-    table = spark.createDataFrame(
-        [(s, i, slot, given[s]) for s, i, slot in cycle_slots(given, cycle)], f"_source {kind}, _i long, _at long, _share long"
-    )  # one row per slot of the cycle
-    share = spark.createDataFrame(list(given.items()), f"_of {kind}, _n long")
-    rows = sum(present.values())
+    known = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(present)], f"_of {kind}, _source long")
+    rows = sum(n for _, n in present)
     placed = ranked(docs, [source_col], order, "_rank", max(16, rows // 100_000))
-    blocks = (
+    cut = (
         placed.withColumn("_block", F.floor(F.col("_rank") / block))
         .withColumn("_place", F.col("_rank") % block)
-        .join(F.broadcast(share), F.col(source_col).eqNullSafe(F.col("_of")))
-        .withColumn("_turn", F.floor(F.col("_block") / F.col("_n")))
-        .withColumn("_in", F.col("_block") % F.col("_n"))
-    )
-    due = blocks.join(F.broadcast(table), F.col(source_col).eqNullSafe(F.col("_source")) & (F.col("_in") == F.col("_i")))
-    return (
-        due.withColumn("_slot", F.col("_turn") * cycle + F.col("_at"))
-        .withColumn("_release", F.floor(F.col("_block") * cycle / F.col("_n")))
-        .withColumn("_deadline", F.ceil((F.col("_block") + 1) * cycle / F.col("_n")))
-        .drop("_rank", "_of", "_n", "_turn", "_in", "_source", "_i", "_at", "_share")
+        .join(F.broadcast(known), F.col(source_col).eqNullSafe(F.col("_of")))
     )
+    due = cut.join(table, (F.col("_source") == F.col("_s")) & (F.col("_block") == F.col("_i")))
+    return due.drop("_rank", "_of", "_source", "_s", "_i")

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -286,6 +287,23 @@ def test_mixing_keeps_every_source_within_a_block(spark, docs, empty):
     assert mixing.mix(empty, ["doc_id"]).count() == 0
 
 
+def test_mixing_follows_the_given_weights_over_many_cycles(spark):
+    weights = {"a": 0.2334567, "b": 0.0001, None: 0.1, "c": 0.6664433}
+    names, total = list(weights), sum(map(Fraction, weights.values()))
+    rows = [(s, i) for s, w in weights.items() for i in range(int(30_000 * w) + 1)]
+    docs = spark.createDataFrame(rows, "source string, doc_id long")
+    placed = mixing.mix(docs, ["doc_id"], weights=weights, block=1).orderBy("_slot").collect()
+    assert len(placed) == len(rows) and [r["_slot"] for r in placed[:29_990]] == list(range(29_990))
+    assert all(r["_release"] <= r["_slot"] < r["_deadline"] for r in placed)
+    got = Counter()
+    for r in placed[:29_990]:
+        got[r["source"]] += 1
+        assert all(abs(got[x] - Fraction(weights[x]) / total * (r["_slot"] + 1)) < 1 for x in names)
+    many = spark.range(1500).select("id", (F.col("id") % 1200).cast("string").alias("source"))  # more than a cycle has slots
+    found = mixing.mix(many, ["id"], block=1).collect()
+    assert len({r["_slot"] for r in found}) == 1500 and {r["id"] for r in found} == set(range(1500))
+
+
 def test_ranks_are_a_permutation_per_key(spark):
     frame = spark.createDataFrame([(i, None if i % 3 else "k") for i in range(500)], "i long, k string")
     got = ranked(frame, ["k"], ["i"], "r", 7).collect()
