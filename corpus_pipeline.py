@@ -3,7 +3,7 @@
 Every stage takes what the one before has kept. The first four return the columns of
 ``documents``: toxic documents go, one document of each group of near copies stays,
 secrets are masked, and rows are put into the order of a weighted mix of sources. The
-last one returns the pieces of the packed sequences.
+last one returns the pieces of the packed sequences, numbered in the order of the mix.
 """
 
 from __future__ import annotations
@@ -48,8 +48,17 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all packed sequences, with their ids."""
-    return pack(docs, vocabulary("word_bpe_49k.json"))
+    """The pieces of all packed sequences, with their ids; sequences follow the mix.
+
+    Files read again have no order, and the stages pass on the columns of documents only,
+    so the same mix is worked out again from the few columns that decide it.
+    """
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+
+    def arrange(rows: DataFrame) -> tuple[DataFrame, list[str]]:
+        return mix(rows, ["doc_id", "_text"]), ["_slot", "_place"]
+
+    return pack(marked, vocabulary("word_bpe_49k.json"), order=["source", "_text"], arrange=arrange)
 
 
 STAGES = [

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odoscan.operators.ordering import shared_folder, stage
@@ -29,15 +29,16 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return stage(df.withColumn(name, F.monotonically_increasing_id()))
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int) -> DataFrame:
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int, slice_of: Column | None = None) -> DataFrame:
     """Zero-based rank within ``keys``, without bringing a key's rows into one task.
 
     Rows of a key are spread over ``slices`` by the hash of the ordering columns and
     ranked inside a slice; the sizes of earlier slices are added. The rank is a
     permutation that depends only on the rows, not on their partitions. Null keys
-    form one group. ``order`` must tell rows apart.
+    form one group. ``order`` must tell rows apart. Where ``slice_of`` gives slices that
+    follow the order, so does the rank.
     """
-    cut = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)).cast("int"))
+    cut = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)).cast("int") if slice_of is None else slice_of)
     by = [*keys, "_slice"]
     inside = Window.partitionBy(*by).orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,12 +12,16 @@ place from its rank within its length, found without gathering a length in one t
 and from a plan of a few hundred ranges. Repeated rows and equal lengths differ in
 the row number given when ids are written; null texts are empty and consist of the
 closing id; an empty table gives no piece.
+
+With an order of the documents, each length's remainders are dealt in that order to all
+patterns alike, what the patterns leave is laid end to end in that order by exact token
+offsets, and sequences are numbered by the first document they hold.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odoscan.llm.common import byte_chunks, numbered, ranked, text_of
+from odoscan.llm.common import byte_chunks, numbered, ranked, stage, text_of
 from odoscan.llm.vocab import encoder
 
 #: Parts of a window in which remainders are measured.
@@ -131,10 +135,11 @@ def placements(plan: list[tuple[tuple[int, ...], int]], units: int = UNITS) -> t
     return ranges, sequence
 
 
-def token_ids(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, closing: int) -> DataFrame:
-    """One row per document: id, packed little-endian ids with the closing id, their number."""
-    kind = docs.schema[id_col].dataType
+def token_ids(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, closing: int, more: list[str] | None = None) -> DataFrame:
+    """One row per document: id, packed little-endian ids with the closing id, their number, and ``more`` columns."""
+    kind, more = docs.schema[id_col].dataType, more or []
     schema = f"doc_id {kind.simpleString()}, ids binary, n_ids long"
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(vocabulary)
@@ -147,10 +152,11 @@ def token_ids(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, clos
                 ends = pa.py_buffer((first * ids.itemsize).astype(np.int32))
                 packed = pa.Array.from_buffers(pa.binary(), high - low, [None, ends, pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), packed, pa.array(np.diff(first))], ["doc_id", "ids", "n_ids"]
+                    [batch.column(0).slice(low, high - low), packed, pa.array(np.diff(first)), *[c.slice(low, high - low) for c in batch.columns[2:]]],
+                    ["doc_id", "ids", "n_ids", *more],
                 )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col), *more).mapInArrow(run, schema)
 
 
 def place(lengths: DataFrame, window: int, rows: int) -> DataFrame:
@@ -233,8 +239,79 @@ def place(lengths: DataFrame, window: int, rows: int) -> DataFrame:
     return shared.unionByName(full)
 
 
+def place_in_order(lengths: DataFrame, window: int, rows: int) -> DataFrame:
+    """The same columns as ``place``, for rows whose number follows the order; its high bits are the slice."""
+    from pyspark.sql import Window
+
+    spark, slices = lengths.sparkSession, max(16, rows // 100_000)
+    by_slice = F.shiftright("row", 33).cast("int")
+    sized = lengths.select(
+        "row", F.floor(F.col("n_ids") / window).alias("n_full"), (F.col("n_ids") % window).alias("rest")
+    ).withColumn("units", F.ceil(F.col("rest") / (window // UNITS)).cast("int"))
+    stock = np.zeros(UNITS + 1, dtype=np.int64)
+    for r in sized.filter("units > 0").groupBy("units").count().collect():
+        stock[r["units"]] = r["count"]
+    plan, left = repeats(stock)
+    packed = sum(times for _, times in plan)
+    deals, at = [], 0  # patterns, then what they leave of each length
+    for pattern, times in [*plan, *(((u,), int(left[u])) for u in range(1, UNITS + 1) if left[u])]:
+        deals.append((at, int(times), [int(u) for u in pattern]))
+        at += int(times)
+    table = spark.createDataFrame(deals, "first long, times long, pattern array<int>")
+    # Every place in a pattern, at the fraction of the order at which its turn comes.
+    places = (
+        spark.range(at)
+        .join(F.broadcast(table), (F.col("id") >= F.col("first")) & (F.col("id") < F.col("first") + F.col("times")))
+        .select("id", ((F.col("id") - F.col("first") + 0.5) / F.col("times")).alias("turn"), F.posexplode("pattern").alias("slot", "units"))
+    )
+    dealt = ranked(places, ["units"], ["turn", "id", "slot"], "rank", slices, F.floor(F.col("turn") * slices).cast("int"))
+    ranks = ranked(sized.filter("units > 0"), ["units"], ["row"], "rank", slices, by_slice)
+    given = stage(ranks.join(dealt.select("units", "rank", "id", "slot"), ["units", "rank"]).select("row", "n_full", "rest", "id", "slot"))
+    start = F.col("n_full") * window
+    ahead = Window.partitionBy("id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    in_pattern = given.filter(F.col("id") < packed).select(
+        "row", start.alias("start"), F.col("rest").alias("length"), F.lit(-1).cast("long").alias("a"), F.col("id").alias("b"),
+        F.coalesce(F.sum("rest").over(ahead), F.lit(0)).alias("offset"),
+    )
+    # End to end: running counts of tokens within slices, then the sums of earlier slices.
+    line = given.filter(F.col("id") >= packed).withColumn("_slice", by_slice)
+    inside = Window.partitionBy("_slice").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    sums = line.groupBy("_slice").agg(F.sum("rest").alias("n"))
+    before = sums.select("_slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    laid = (
+        line.withColumn("own", F.coalesce(F.sum("rest").over(inside), F.lit(0)))
+        .join(before, "_slice")
+        .withColumn("at", F.col("own") + F.col("before"))
+        .withColumn("cut", F.least(F.col("rest"), window - F.col("at") % window))
+    )
+    none = F.lit(0).cast("long")
+    two = F.array(
+        F.struct(none.alias("skip"), F.col("cut").alias("length"), none.alias("next")),
+        F.struct(F.col("cut").alias("skip"), (F.col("rest") - F.col("cut")).alias("length"), F.lit(1).cast("long").alias("next")),
+    )
+    end_to_end = laid.withColumn("piece", F.explode(two)).filter("piece.length > 0").select(
+        "row", (start + F.col("piece.skip")).alias("start"), F.col("piece.length").alias("length"), F.lit(-1).cast("long").alias("a"),
+        (F.floor(F.col("at") / window) + F.col("piece.next") + at).alias("b"), (F.col("at") % window * (1 - F.col("piece.next"))).alias("offset"),
+    )
+    whole = sized.filter("n_full > 0").select("row", F.explode(F.sequence(none, F.col("n_full") - 1)).alias("b")).select(
+        "row", (F.col("b") * window).alias("start"), F.lit(window).cast("long").alias("length"), F.col("row").alias("a"), "b", none.alias("offset")
+    )
+    pieces = stage(in_pattern.unionByName(end_to_end).unionByName(whole))
+    firsts = pieces.groupBy("a", "b").agg(F.min("row").alias("row"))
+    numbers = ranked(firsts, [], ["row", "a", "b"], "sequence_id", slices, by_slice)
+    return pieces.join(numbers.select("a", "b", "sequence_id"), ["a", "b"]).select("row", "start", "length", "sequence_id", "offset")
+
+
 def pack(
-    docs: DataFrame, vocabulary: str, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", closing: int = 1
+    docs: DataFrame,
+    vocabulary: str,
+    window: int = 2048,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    closing: int = 1,
+    order: list[str] | None = None,
+    arrange: Callable[[DataFrame], tuple[DataFrame, list[str]]] | None = None,
 ) -> DataFrame:
     """Pieces of all documents in windows of at most ``window`` ids.
 
@@ -242,12 +319,25 @@ def pack(
     ids (binary, little-endian unsigned 32-bit), sequence_id, offset. Every id lies in
     exactly one piece; offsets within a sequence have no gaps. Sequences that are not
     full are padded by the reader.
+
+    ``order`` names columns that sequences follow: they are numbered by their first document.
+    If the order is not in columns, ``arrange`` finds it: it gets doc_id, row and the ``order``
+    columns of every document and returns rows with ``row`` and the columns to sort by.
     """
     if window % UNITS:
         raise ValueError(f"window must be a multiple of {UNITS}")
-    tokens = numbered(token_ids(docs, id_col, text_col, vocabulary, closing), "row")
+    tokens = numbered(token_ids(docs, id_col, text_col, vocabulary, closing, order), "row")
     rows = tokens.count()
-    pieces = place(tokens.select("row", "n_ids"), window, rows)
+    if order is None:
+        pieces = place(tokens.select("row", "n_ids"), window, rows)
+    else:
+        narrow = tokens.select("doc_id", "row", "n_ids", *order)
+        turned, by = arrange(narrow) if arrange else (narrow, order)
+        sort = [*by, "row"]
+        sorted_rows = turned.select("n_ids", *sort).repartitionByRange(max(16, rows // 100_000), *sort).sortWithinPartitions(*sort)
+        turns = numbered(sorted_rows.select(F.col("row").alias("own"), "n_ids"), "row")
+        found = place_in_order(turns.select("row", "n_ids"), window, rows)
+        pieces = found.join(turns.select("row", "own"), "row").drop("row").withColumnRenamed("own", "row")
     kind = tokens.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, doc_tokens long, start long, length long, ids binary, sequence_id long, offset long"
     # A document's pieces travel as one list, a fixed number per window of its own length.

@@ -117,3 +117,29 @@ def test_mixing_keeps_every_row(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, folder)
     assert Counter(map(tuple, mixed.collect())) == Counter(map(tuple, docs.collect()))
+
+
+def test_packed_sequences_follow_the_mix(spark, tmp_path):
+    rng = random.Random(21)
+    sizes = {"a": 3200, "b": 800, "c": 200}  # weights by the square root: 4, 2 and 1 of 7
+    rows = [(s, words(max(1, int(rng.expovariate(1 / 150))), rng.random())) for s, n in sizes.items() for _ in range(n)]
+    rows = [(i, t, "en", s, 0, "") for i, (s, t) in enumerate(rows)]
+    rows[17] = (17, words(4000, 5), *rows[17][2:])  # whole windows
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    pieces = dict(corpus_pipeline.STAGES)["packing"](spark, docs, str(tmp_path)).collect()
+    filled, sources = {}, {}
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == filled.get(r["sequence_id"], 0)
+        filled[r["sequence_id"]] = r["offset"] + r["length"]
+        sources.setdefault(r["sequence_id"], []).append(rows[r["doc_id"]][3])
+    assert sorted(filled) == list(range(len(filled))) and max(filled.values()) <= 2048
+    seen = Counter()
+    for r in sorted(pieces, key=lambda r: (r["doc_id"], r["start"])):
+        assert r["start"] == seen[r["doc_id"]]
+        seen[r["doc_id"]] += r["length"]
+    assert len(seen) == len(rows) and all(r["doc_tokens"] == seen[r["doc_id"]] for r in pieces)
+    assert sum(filled.values()) > 0.97 * 2048 * len(filled)
+    for share in (0.1, 0.2, 0.3):  # all sources last for 1,400 rows
+        found = Counter(s for q in range(int(share * len(filled))) for s in sources[q])
+        total = sum(found.values())
+        assert all(abs(found[s] / total - w / 7) < 0.08 for s, w in (("a", 4), ("b", 2), ("c", 1)))
