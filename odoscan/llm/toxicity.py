@@ -5,8 +5,9 @@ rows of an embedding table. Filters of several widths slide over a text's words,
 largest responses are kept, and a logistic unit turns them into a score. A text of any
 length is scored whole. Training uses a bounded sample of labelled rows (``most_rows``),
 whole texts again, with sparse adaptive gradients: only words that a filter picked
-change. Another part of the labelled rows sets each language's threshold, the one with
-the best F1; languages with fewer than ``enough`` toxic rows there use the common one,
+change. All rows of another part of the labelled ones set each language's threshold,
+the one with the best F1 among the edges of ``BINS`` score bins, whose counts are all
+that reaches the driver; languages with fewer than ``enough`` toxic rows there use the common one,
 which is 0.5 if all languages together have fewer.
 
 The score depends on the text alone. Empty and null texts are scored as one blank word.
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 
 from odoscan.llm.common import LOWER, MARKS, byte_chunks, hash_words, text_of
 
+#: Bins of equal width in which scores are counted; a power of two, so that edges are exact.
+BINS = 1 << 12
+
 
 @dataclass
 class Plan:
@@ -36,7 +40,6 @@ class Plan:
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8
     most_rows: int = 8000
-    most_calibration: int = 8000
     enough: int = 20
     epochs: int = 6
     batch: int = 32
@@ -167,26 +170,34 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, plan: Plan) -> Model:
     return model
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the best F1, in the middle of the gap below it."""
-    order = np.argsort(-scores, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
-    last = np.append(scores[order][1:] < scores[order][:-1], True)  # equal scores stay together
-    at = int(np.argmax(np.where(last, f1, -1)))
-    below = scores[order[at + 1]] if at + 1 < len(order) else 0.0
-    return float((scores[order[at]] + below) / 2)
+def best_threshold(counts: np.ndarray) -> float:
+    """The cut with the best F1, in the middle of the gap below it, from (score bin, label) counts."""
+    filled = np.flatnonzero(counts.sum(axis=1))[::-1]
+    clean, toxic = counts[filled].cumsum(axis=0).T
+    at = int(np.argmax(2 * toxic / (clean + toxic + counts[:, 1].sum())))
+    below = filled[at + 1] + 1 if at + 1 < len(filled) else 0
+    return float(filled[at] + below) / 2 / BINS
+
+
+def calibrate(model: Model, rows: DataFrame) -> None:
+    """Set the thresholds from all of ``rows``, which have text, lang and toxic."""
+    scored = score_texts(rows.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("toxic").cast("int").alias("toxic")), model)
+    tall = scored.groupBy("lang", F.floor(F.col("score") * BINS).cast("int").alias("bin"), "toxic").count().collect()
+    by_lang: dict[str, np.ndarray] = {}
+    for r in tall:
+        by_lang.setdefault(r["lang"], np.zeros((BINS + 1, 2), np.int64))[r["bin"], r["toxic"]] += r["count"]
 
+    def enough(counts: np.ndarray) -> bool:
+        return model.plan.enough <= counts[:, 1].sum() < counts.sum()
 
-def calibrate(model: Model, scores: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> None:
-    if not model.plan.enough <= labels.sum() < len(labels):
+    every = sum(by_lang.values(), np.zeros((BINS + 1, 2), np.int64))
+    if not enough(every):
         return  # too few to tell: 0.5 for all
-    model.common = best_threshold(scores, labels)
-    names = np.array([lang or "" for lang in langs])
-    for lang in set(langs):
-        own = names == (lang or "")
-        if model.plan.enough <= labels[own].sum() < own.sum():
-            model.thresholds[lang] = best_threshold(scores[own], labels[own])
+    model.common = best_threshold(every)
+    for lang, counts in by_lang.items():
+        if enough(counts):
+            for name in (lang,) if lang else ("", None):
+                model.thresholds[name] = best_threshold(counts)
 
 
 def remainder(id_col: str) -> Column:
@@ -227,22 +238,14 @@ def train(docs: DataFrame, labels: DataFrame, plan: Plan | None = None, folds: t
     known = marked.withColumn("fold", remainder("doc_id"))
     texts = docs.select("doc_id", "text", "lang")
 
-    def part(which: tuple[int, ...], most: int) -> list:
-        return _ids(texts.join(_sample(known.filter(F.col("fold").isin(*which)), most), "doc_id"), plan)
+    def part(which: tuple[int, ...]) -> DataFrame:
+        return known.filter(F.col("fold").isin(*which))
 
-    rows = part(folds[1:], plan.most_rows)
+    rows = _ids(texts.join(_sample(part(folds[1:]), plan.most_rows), "doc_id"), plan)
     model = fit(
         [np.frombuffer(r["ids"], "<u4").astype(np.int64) for r in rows], np.array([r["toxic"] for r in rows], dtype=np.float64), plan
     )
-    held = part(folds[:1], plan.most_calibration)
-    if held:
-        first = np.concatenate([[0], np.cumsum([len(r["ids"]) // 4 for r in held])])
-        ids = np.frombuffer(b"".join(r["ids"] for r in held), "<u4").astype(np.int64)
-        cuts = range(0, len(held), 200)
-        scores = np.concatenate(
-            [model.score(ids[first[a] : first[min(a + 200, len(held))]], first[a : min(a + 200, len(held)) + 1] - first[a]) for a in cuts]
-        )
-        calibrate(model, scores, np.array([r["toxic"] for r in held], dtype=np.float64), [r["lang"] for r in held])
+    calibrate(model, texts.join(part(folds[:1]), "doc_id"))
     return model
 
 

@@ -328,6 +328,36 @@ def test_toxicity_learns_a_word(spark):
     assert {r["score"] for r in toxicity.score_texts(docs.limit(3), none).collect()} == {0.0}
 
 
+def test_thresholds_rest_on_all_rows_of_the_calibration_fold(spark):
+    rows = [(i, words(6, i) + (" Moron!" if i % 3 == 0 else ""), "rare" if i % 200 == 0 else "en", int(i % 3 == 0)) for i in range(60_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    docs, labels = frame.drop("toxic"), frame.select("doc_id", "toxic")
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 1]
+    rare = [r for r in held if r[2] == "rare"]
+    enough = sum(r[3] for r in rare)  # all of its toxic rows are needed; a sample has fewer
+    assert 0 < enough < len(rare)
+    model = toxicity.train(docs, labels, toxicity.Plan(buckets=1 << 12, epochs=1, most_rows=1000, enough=enough))
+    assert set(model.thresholds) == {"en", "rare"}
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_texts(docs, model).collect()}
+
+    def f1(mine, cut):
+        hit = [r[3] for r in mine if scores[r[0]] >= cut]
+        return 2 * sum(hit) / max(1, len(hit) + sum(r[3] for r in mine))
+
+    for mine, cut in ((held, model.common), (rare, model.thresholds["rare"])):
+        assert f1(mine, cut) >= max(f1(mine, k / toxicity.BINS) for k in range(0, toxicity.BINS + 1, 16)) - 1e-12
+
+
+def test_toxicity_bins_give_the_best_cut():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        score, label = rng.integers(0, toxicity.BINS + 1, 60), rng.integers(0, 2, 60)
+        counts = np.zeros((toxicity.BINS + 1, 2), np.int64)
+        np.add.at(counts, (score, label), 1)
+        f1 = lambda cut: 2 * label[score / toxicity.BINS >= cut].sum() / ((score / toxicity.BINS >= cut).sum() + label.sum())  # noqa: E731, B023
+        assert f1(toxicity.best_threshold(counts)) == max(f1(x / toxicity.BINS) for x in score)
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(docs, empty, rule):
     path = vocabulary("byte_bpe_50k.tiktoken")
