@@ -3,7 +3,8 @@
 The method looks at how many characters a byte-pair vocabulary needs per token. Words
 of prose and code compress well; random strings fall apart into short tokens. Strings
 that are random by nature but known not to be secrets are excluded first: digests of
-the usual lengths, UUIDs, numbers, dates, addresses, and identifiers made of words.
+the usual lengths, UUIDs, numbers, dates, and identifiers whose parts themselves need
+few tokens. All others, of letters only too, are decided by their characters per token.
 
 Spans are in code points, end exclusive. Null texts are empty and have no spans. Rows
 are scanned one by one, so repeated rows, ties and extra columns need no rule.
@@ -32,7 +33,7 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Shortest string judged by its tokens, and the characters per token under which it is random.
 SHORTEST, RATIO = 16, 2.4
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % SHORTEST)
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+_LETTER = re.compile(r"[A-Za-z]")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _UUID = re.compile(r"(?i)[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}")
 _HEXES = re.compile(r"(?i)[0-9a-f]+")
@@ -57,20 +58,25 @@ def vocabulary(path: str):
 
 
 def known_harmless(word: str) -> bool:
-    """Digests, UUIDs, plain numbers or words, and identifiers made of readable parts."""
-    if _UUID.fullmatch(word) or (len(word) in _DIGESTS and _HEXES.fullmatch(word)):
-        return True
-    if not (_DIGIT.search(word) and _LETTER.search(word)):
-        return True  # one kind of character only: a number, a word, a rule of dashes
+    """Digests, UUIDs, and what has no letter: numbers, dates, rules of dashes."""
+    return bool(_UUID.fullmatch(word) or (len(word) in _DIGESTS and _HEXES.fullmatch(word)) or not _LETTER.search(word))
+
+
+def identifier(word: str, path: str, ratio: float) -> bool:
+    """Few, long and readable parts: camelCase, snake_case, paths, version strings."""
     parts = _PART.findall(word)
     letters = [p for p in parts if p[0].isalpha()]
-    # An identifier has few, long parts: camelCase, snake_case, paths, version strings.
-    return sum(map(len, letters)) >= 4.5 * len(parts)
+    if sum(map(len, letters)) < 4.5 * len(parts):
+        return False
+    encode = vocabulary(path).encode_ordinary
+    return sum(map(len, letters)) >= ratio * sum(len(encode(p)) for p in letters)
 
 
 @lru_cache(1 << 16)
 def random_string(word: str, path: str, ratio: float) -> bool:
-    return not known_harmless(word) and len(word) < ratio * len(vocabulary(path).encode_ordinary(word))
+    if known_harmless(word) or len(word) >= ratio * len(vocabulary(path).encode_ordinary(word)):
+        return False
+    return not identifier(word, path, ratio)
 
 
 def scan(text: str, path: str, ratio: float = RATIO) -> list[tuple[int, str, int]]:

@@ -97,6 +97,21 @@ def test_secret_spans(docs, empty):
     assert secrets.scan_secrets(empty, vocabulary("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_random_strings_of_few_or_no_digits_are_found():
+    path, rng = vocabulary("byte_bpe_50k.tiktoken"), random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    found = lambda word: [x for x in secrets.scan(f"key {word} end", path) if x[1] == "random"]
+    keys = ["".join(rng.choice(letters + letters.upper()) for _ in range(40)) for _ in range(200)]
+    base32 = ["".join(rng.choice(letters.upper() + "234567") for _ in range(16)) for _ in range(200)]
+    one = ["".join(rng.choice(letters.upper()) for _ in range(15)) for _ in range(200)]
+    one = [w[: i % 16] + "7" + w[i % 16 :] for i, w in enumerate(one)]
+    for word in [*keys, *base32, *one]:
+        assert found(word) == [(4, "random", 4 + len(word))]
+    plain = ["2024-01-02-030405-0607", "4337166598464399", "0641917ea4e9feb9cda83477b57ac2654884f485", "-" * 40]
+    plain += ["123e4567-e89b-12d3-a456-426614174000", "getElementsByClassName", "maximum_number_of_connections_2", "internationalization"]
+    assert not any(map(found, plain))
+
+
 def test_fingerprints_and_block_tables(spark, docs, empty):
     got = {r["doc_id"]: r["fingerprint"] for r in simhash.fingerprints(docs, "doc_id", "text").collect()}
     assert got[5] == got[6] == got[7] and got[0] == got[1] == got[2] == 0 and got[3] == got[17]
