@@ -150,3 +150,46 @@ def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = remove_repeated_bytes(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Every round as one common table: the nearest entries, then the entries' new means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} AS MATERIALIZED (
+  SELECT vec_id, label, p, part, min(struct_pack(
+    d := list_sum(list_transform(list_zip(part, centre), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, entry := entry)) AS best
+  FROM parts JOIN book{i} USING (p) GROUP BY vec_id, label, p, part)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""book{i + 1} AS MATERIALIZED (
+  SELECT p, entry, coalesce(mean, centre) AS centre FROM book{i} LEFT JOIN (
+    SELECT p, entry, list(floor(total / n)::BIGINT ORDER BY k) AS mean FROM (
+      SELECT p, best.entry AS entry, k, sum(part[k]) AS total, count(*) AS n FROM near{i}, generate_series(1, len(part)) g(k) GROUP BY ALL)
+    GROUP BY p, entry) USING (p, entry))"""
+            )
+    return f"""WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS part FROM kept, range(4) r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, entry, part AS centre FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept) USING (vec_id)
+  WHERE entry < 256),
+{", ".join(steps)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.entry), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id, label)
+SELECT vec_id, label, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(centre, ','), ',' ORDER BY p, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM coded"""
+
+
+@query("op11_codes", _codes_sql())
+def codes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odoscan.llm.codes import compress
+
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"), "label", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256")
+    )
