@@ -193,3 +193,40 @@ def codes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         F.col("id").alias("vec_id"), "label", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256")
     )
+
+
+_IMPORTANCE_SQL = r"""WITH crc AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i))),
+texts AS (
+  SELECT doc_id, text, true AS own FROM documents UNION ALL SELECT item_id, text, false FROM benchmark),
+words AS MATERIALIZED (
+  SELECT own, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+buckets AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_transform(range(len(h) // 2),
+      lambda i: (instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM words), crc),
+held AS MATERIALIZED (SELECT own, doc_id, bucket, count(*) AS n FROM words JOIN buckets USING (word) GROUP BY ALL),
+gains AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM (SELECT bucket, coalesce(sum(n) FILTER (own), 0) AS s, coalesce(sum(n) FILTER (NOT own), 0) AS t FROM held GROUP BY bucket)),
+weighed AS (
+  SELECT d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(floor(total / n_features), 0)::BIGINT AS weight
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS total FROM held JOIN gains USING (bucket) WHERE own GROUP BY doc_id) USING (doc_id)),
+scored AS (
+  SELECT *, (weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296))))::BIGINT AS score FROM weighed),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed p ON s.doc_id = p.doc_id"""
+
+
+@query("op12_importance", _IMPORTANCE_SQL)
+def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odoscan.llm.importance import resample
+
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
