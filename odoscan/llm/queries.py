@@ -230,3 +230,15 @@ def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_private")
+def private_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odoscan.llm.private import find_private, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_private(docs, train(docs))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+        F.col("joined").alias("spans"), "n_added",
+    )
