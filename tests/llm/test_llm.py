@@ -319,6 +319,27 @@ def test_mixing_follows_the_given_weights_over_many_cycles(spark):
     assert len({r["_slot"] for r in found}) == 1500 and {r["id"] for r in found} == set(range(1500))
 
 
+def test_components_of_random_links(spark):
+    rng = random.Random(7)
+    for size, many in ((300, 150), (300, 400), (60, 600)):  # many small parts, one large one, a bundle
+        links = [(rng.randrange(size), rng.randrange(size)) for _ in range(many)]
+        links += [(1000 + i, 1000 + i + 1) for i in rng.sample(range(100), 80)]  # broken chains
+        links += links[:50] + [(b, a) for a, b in links[:50]] + [(5000, i) for i in range(3)]  # repeated, turned, a large hub
+        up = {x: x for pair in links for x in pair}
+
+        def root(x, up=up):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in links:
+            low, high = sorted((root(a), root(b)))
+            up[high] = low
+        in_links = {x for a, b in links if a != b for x in (a, b)}
+        got = components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
+        assert len(got) == len(in_links) and dict(map(tuple, got)) == {x: root(x) for x in in_links}
+
+
 def test_ranks_are_a_permutation_per_key(spark):
     frame = spark.createDataFrame([(i, None if i % 3 else "k") for i in range(500)], "i long, k string")
     got = ranked(frame, ["k"], ["i"], "r", 7).collect()
