@@ -2,7 +2,7 @@
 
 Texts are lower-cased (A to Z only); everything in ASCII but letters and digits delimits
 words. Spark counts the distinct words of both tables, and the commonest ones (a bounded
-number, by count and then by their bytes) form a dictionary: each is entered between two delimiters
+number) form a dictionary: each is entered between two delimiters
 with its CRC-32 and its length as payload. One scan of a text by the automaton emits the
 payloads of its words in order. Words outside the dictionary leave gaps in that order and
 are hashed one by one, so the result does not depend on the dictionary's size.
@@ -167,9 +167,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def common_words(texts: DataFrame, most: int = MOST_WORDS) -> list[bytes]:
-    """The commonest words, at most ``most``, equally common ones by their bytes."""
-    rows = word_counts(texts).orderBy(F.desc("n"), "word").limit(most).select("word").collect()
-    return [bytes(r["word"]) for r in rows]
+    """All words from a count on that at most ``most`` words reach, the commonest first, equally common ones by their bytes.
+
+    The count is the edge of one of eight bins to an octave, so a few hundred bin sizes and the
+    chosen words are all that reaches the driver.
+    """
+    counts = stage(word_counts(texts).withColumn("bin", F.floor(F.log2("n") * 8).cast("int")))
+    bound, held = None, 0
+    for r in sorted(counts.groupBy("bin").count().collect(), key=lambda r: -r["bin"]):
+        held += r["count"]
+        if held > most:
+            break
+        bound = r["bin"]
+    if bound is None:
+        return []
+    rows = counts.filter(F.col("bin") >= bound).select("word", "n").collect()
+    return [bytes(r["word"]) for r in sorted(rows, key=lambda r: (-r["n"], bytes(r["word"])))]
 
 
 _DICTIONARIES: dict[str, Dictionary] = {}
