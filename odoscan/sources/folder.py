@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odoscan.config import HEADER_ALIASES, Roles, Settings
+from odoscan.config import Roles, Settings
 from odoscan.operators.cleaning import null_markers, parse_time
 from odoscan.operators.ordering import stage
 from odoscan.operators.shaping import drop_duplicate_columns
+from odoscan.sources.files import ERROR, HEADERS, RAGGED, FolderSource, canonical_names
 
-
-def canonical_names(headers: Sequence[str], aliases: dict[str, str] | None = None) -> list[str]:
-    """Trim, turn line breaks into spaces, and apply the alias map."""
-    aliases = HEADER_ALIASES if aliases is None else aliases
-    tidy = [h.strip().replace("\n", " ") for h in headers]
-    return [aliases.get(h, h) for h in tidy]
+__all__ = ["canonical_names", "file_report", "folder_columns", "load_folder", "normalise_headers", "read_folder", "read_headers", "read_table", "union_all"]
 
 
 def normalise_headers(df: DataFrame, aliases: dict[str, str] | None = None, keep: str = "first") -> DataFrame:
@@ -28,14 +21,6 @@ def normalise_headers(df: DataFrame, aliases: dict[str, str] | None = None, keep
     return drop_duplicate_columns(df, canonical_names(df.columns, aliases), keep)
 
 
-def with_provenance(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    """Entity key (file name before its first underscore) and source path of each row."""
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return df.select(
-        "*", F.split(stem, "_")[0].alias(roles.entity), F.col("_metadata.file_path").alias(roles.source)
-    )
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Outer union by column name; absent columns are null."""
     first, *rest = frames
@@ -44,74 +29,73 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
-def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """Paths of the matching files directly in the directory. Contents are not read."""
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory).select("path", "length")
-    except Exception as error:
-        raise ValueError(f"directory not found: {directory}") from error
-    return files
-
-
-def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _reader(spark: SparkSession, directory: str, pattern: str, **options):
+    spark.dataSource.register(FolderSource)
+    return spark.read.format(FolderSource.name()).options(pattern=pattern, **options)
 
-    def header(path: str) -> list[str] | None:
-        try:
-            system, inner = fs.FileSystem.from_uri(path)
-            with system.open_input_stream(inner) as raw:
-                text = io.TextIOWrapper(io.BufferedReader(raw), encoding="utf-8-sig", newline="")
-                return next(csv.reader(text), None)
-        except (OSError, UnicodeDecodeError, csv.Error):
-            return None
 
-    for batch in batches:
-        yield pd.DataFrame({"path": batch["path"], "header": [header(p) for p in batch["path"]]})
+def read_headers(spark: SparkSession, directory: str, pattern: str = "*.csv") -> DataFrame:
+    """One row per file: path, number, bytes, names and types of its columns, and the error if it cannot be read.
 
-
-def read_headers(files: DataFrame) -> DataFrame:
-    """The header record of every file, read on the executors; null if unreadable or empty."""
-    tasks = max(32, files.sparkSession.sparkContext.defaultParallelism)
-    return files.select("path").repartition(tasks).mapInPandas(_first_records, "path string, header array<string>")
+    Tasks read the header record or the footer of their files, nothing else.
+    """
+    return _reader(spark, directory, pattern, what="headers").schema(HEADERS).load(directory)
 
 
-def read_csv_folder(
-    spark: SparkSession, directory: str, pattern: str = "*.csv", roles: Roles = Roles(), keep: str = "first"
-) -> tuple[DataFrame, list[str]]:
-    """All matching CSV files as text columns, and the paths that could not be read.
+def folder_columns(headers: DataFrame) -> dict[str, str]:
+    """Names and types of the folder's table: all columns of all layouts, by first file; differing types become text.
 
-    Spark reads a folder by the header of one file, so files are grouped by header
-    and each group is read with its own schema.
+    Only the distinct columns reach the driver.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    failed = []
-    for row in read_headers(list_files(spark, directory, pattern)).collect():
-        if row["header"]:
-            groups.setdefault(tuple(row["header"]), []).append(row["path"])
-        else:
-            failed.append(row["path"])
-    if not groups and not failed:
+    cells = headers.filter("error is null").select("file", F.posexplode(F.arrays_zip("names", "types")).alias("at", "c"))
+    found = cells.groupBy("c.names", "c.types").agg(F.min(F.struct("file", "at")).alias("first")).collect()
+    columns: dict[str, str] = {}
+    for row in sorted(found, key=lambda r: r["first"]):
+        name = canonical_names([row["names"]])[0]
+        columns[name] = row["types"] if columns.get(name, row["types"]) == row["types"] else "string"
+    return columns
+
+
+def read_folder(
+    spark: SparkSession, directory: str, pattern: str = "*.csv", roles: Roles = Roles(), keep: str = "first", group_bytes: int = 128 << 20
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, errors): all rows of all readable files, written once, and (path, error) of the others.
+
+    A file counts as a whole: one that turns out to be damaged in its middle gives no row. The rows
+    carry the entity in the file's name, its path, a record number unless the files have one, and
+    ``RAGGED`` for records of another length than their header.
+    """
+    try:
+        headers = stage(read_headers(spark, directory, pattern))
+    except Exception as error:
+        if "directory not found" in str(error):
+            raise ValueError(f"directory not found: {directory}") from error
+        raise
+    known, readable = headers.agg(F.count(F.lit(1)), F.count_if(F.col("error").isNull())).first()
+    if not known:
         raise ValueError(f"no files matching {pattern!r} in {directory}")
-    if not groups:
+    if not readable:
         raise ValueError("no valid data files were loaded")
-    frames = []
-    for header, paths in sorted(groups.items()):
-        names = canonical_names(header)
-        schema = ", ".join(f"c{i} string" for i in range(len(names)))
-        reader = spark.read.schema(schema).option("header", True).option("multiLine", any("\n" in h for h in header))
-        whole = len(groups) == 1 and not failed
-        raw = reader.option("pathGlobFilter", pattern).csv(directory) if whole else reader.csv(sorted(paths))
-        body = with_provenance(raw, roles)
-        frames.append(drop_duplicate_columns(body, [*names, roles.entity, roles.source], keep))
-    return union_all(frames), sorted(failed)
-
-
-def read_parquet_folder(
-    spark: SparkSession, directory: str, pattern: str = "*.parquet", roles: Roles = Roles(), keep: str = "first"
-) -> DataFrame:
-    raw = spark.read.option("mergeSchema", True).option("pathGlobFilter", pattern).parquet(directory)
-    body = with_provenance(raw, roles)
-    return normalise_headers(body, keep=keep)
+    columns = folder_columns(headers)
+    columns |= {roles.entity: "string", roles.source: "string"}  # the file's name decides
+    columns.setdefault(roles.record, "bigint")
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in {**columns, RAGGED: "boolean", ERROR: "string"}.items())
+    named = {"entity": roles.entity, "source": roles.source, "record": roles.record}
+    reader = _reader(spark, directory, pattern, keep=keep, groupBytes=group_bytes, **named)
+    read = stage(reader.schema(schema).load(directory))
+    errors = read.filter(F.col(ERROR).isNotNull()).select(F.col(roles.source).alias("path"), F.col(ERROR).alias("error"))
+    rows = read.filter(F.col(ERROR).isNull()).drop(ERROR)
+    if not errors.isEmpty():
+        damaged = errors.select(F.col("path").alias("_path"))
+        rows = rows.join(damaged, F.col(roles.source) == F.col("_path"), "left_anti")
+    return rows, errors
+
+
+def file_report(rows: DataFrame, errors: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """One row per file: path, rows, ragged rows, error."""
+    read = rows.groupBy(F.col(roles.source).alias("path")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(RAGGED).alias("ragged"))
+    none = F.lit(0).cast("long")
+    return read.withColumn("error", F.lit(None).cast("string")).unionByName(errors.select("path", none.alias("rows"), none.alias("ragged"), "error"))
 
 
 def load_folder(
@@ -121,19 +105,13 @@ def load_folder(
     roles: Roles = Roles(),
     settings: Settings = Settings(),
 ) -> tuple[DataFrame, list[str]]:
-    """Read a folder, null the missing markers, parse times, and number the records.
+    """Read a folder, null the missing markers and parse times; also the paths that could not be read.
 
-    Record ids are assigned once and written with the rows, so they cannot change
-    when a lost executor's work is repeated.
+    Records are numbered by file and place in it, so the numbers depend on the files alone.
     """
-    if pattern.endswith(".parquet"):
-        df, failed = read_parquet_folder(spark, directory, pattern, roles), []
-    else:
-        df, failed = read_csv_folder(spark, directory, pattern, roles)
-    df = parse_time(null_markers(df, settings), roles)
-    if roles.record not in df.columns:
-        df = stage(df.withColumn(roles.record, F.monotonically_increasing_id()))
-    return df, failed
+    rows, errors = read_folder(spark, directory, pattern, roles)
+    df = parse_time(null_markers(rows.drop(RAGGED), settings), roles)
+    return df, sorted(r["path"] for r in errors.select("path").collect())
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
