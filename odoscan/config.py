@@ -109,6 +109,7 @@ class Settings:
     block_rows: int = 2_000_000
     broadcast_rows: int = 100_000
     exact_group_rows: int = 4_000_000
+    fit_bytes: int = 256 << 20  # a training matrix that one task may hold
     fits_at_once: int = 4  # independent model fits submitted side by side
 
     # False: build the features the original column names left dead.
