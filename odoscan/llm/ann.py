@@ -70,7 +70,9 @@ def best_of_block(
     for low in range(0, len(queries), 128):
         some = queries[low : low + 128]
         estimate, bound = estimates(*coded, some, centre, turn, epsilon)
-        slack = np.linalg.norm(some, axis=1)[:, None] * bound + 1e-6
+        # Beside the bound what single precision may round off.
+        rounding = 1e-5 * (coded[1] + np.linalg.norm(centre)) + 1e-6
+        slack = np.linalg.norm(some, axis=1)[:, None] * (bound + rounding) + 1e-6
         own = query_ids[low : low + 128][:, None] == ids[None, :]
         lower = np.where(own, -np.inf, estimate - slack)
         cut = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(some), -np.inf)
@@ -78,7 +80,7 @@ def best_of_block(
         for i in range(len(some)):
             at = np.flatnonzero(chosen[i])
             reranked += len(at)
-            score = vectors[at] @ some[i]
+            score = (vectors[at] * some[i]).sum(axis=1)  # row by row, so that equal vectors get equal scores
             order = np.lexsort((ids[at], -score))[:k]
             rows.append(np.full(len(order), low + i))
             found.append(at[order])

@@ -30,25 +30,6 @@ from pyspark.sql import functions as F
 from odoscan.llm.common import ranked, stage
 
 
-def shares(weights: Mapping, cycle: int) -> dict:
-    """Whole slots per cycle by largest remainder, at least one for each source; ``mix`` does not round."""
-    if len(weights) > cycle:
-        raise ValueError("the cycle must have a slot for every source")
-    if any(not w > 0 for w in weights.values()):
-        raise ValueError("weights must be positive")
-    total = sum(weights.values())
-    exact = {s: w / total * cycle for s, w in weights.items()}
-    slots = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (slots[s] - exact[s], str(s)))
-    while (left := cycle - sum(slots.values())) != 0:
-        for s in by_rest if left > 0 else reversed(by_rest):
-            if left and (left > 0 or slots[s] > 1):
-                step = 1 if left > 0 else -1
-                slots[s] += step
-                left -= step
-    return slots
-
-
 def ratios(weights: Sequence) -> list[int]:
     """Integers in exactly the proportions of the weights."""
     if any(not w > 0 for w in weights):
@@ -83,15 +64,6 @@ def schedule(parts: Sequence[int], blocks: Sequence[int]) -> Iterator[tuple[int,
         slot += 1
 
 
-def cycle_slots(slots: Mapping, cycle: int) -> list[tuple]:
-    """(source, block in the cycle, slot) for whole slots that add up to the cycle."""
-    names = sorted(slots, key=str)
-    counts = [slots[s] for s in names]
-    if counts and sum(counts) != cycle:
-        raise ValueError("the slots must add up to the cycle")
-    return [(names[s], i, slot) for s, i, _, _, slot in schedule(counts, counts)]
-
-
 def mix(
     docs: DataFrame,
     order: list[str],
@@ -101,7 +73,7 @@ def mix(
     cycle: int = 1000,
     power: float = 0.5,
 ) -> DataFrame:
-    """Add _block, _release, _deadline, _slot and _place (within the block) to every row.
+    """Add _block, _release, _deadline, _slot and _place (within the block) to every row, in place of columns of that name.
 
     ``order`` names columns that fix the order of a source's rows. Without ``weights`` a
     source's weight is its row count to the given power. One row per source reaches the
@@ -128,13 +100,15 @@ def mix(
 
     table = stage(spark.range(0, 1, 1, 1).mapInArrow(run, "_s long, _i long, _release long, _deadline long, _slot long"))
     kind = docs.schema[source_col].dataType.simpleString()
-    known = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(present)], f"_of {kind}, _source long")
+    known = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(present)], f"of {kind}, number long")
     rows = sum(n for _, n in present)
-    placed = ranked(docs, [source_col], order, "_rank", max(16, rows // 100_000))
-    cut = (
-        placed.withColumn("_block", F.floor(F.col("_rank") / block))
-        .withColumn("_place", F.col("_rank") % block)
-        .join(F.broadcast(known), F.col(source_col).eqNullSafe(F.col("_of")))
-    )
-    due = cut.join(table, (F.col("_source") == F.col("_s")) & (F.col("_block") == F.col("_i")))
-    return due.drop("_rank", "_of", "_source", "_s", "_i")
+    # Rows travel as one column, so that no name of theirs meets another.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    by = [f"o{i}" for i in range(len(order))]
+    packed = docs.select(whole, F.col(source_col).alias("source"), *[F.col(c).alias(n) for c, n in zip(order, by, strict=True)])
+    placed = ranked(packed, ["source"], by, "rank", max(16, rows // 100_000))
+    cut = placed.select("whole", "source", F.floor(F.col("rank") / block).alias("_block"), (F.col("rank") % block).alias("_place"))
+    cut = cut.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("of")))
+    due = cut.join(table, (F.col("number") == F.col("_s")) & (F.col("_block") == F.col("_i")))
+    given = ["_block", "_place", "_release", "_deadline", "_slot"]
+    return due.select(*[F.col("whole")[c].alias(c) for c in docs.columns if c not in given], *given)

@@ -361,8 +361,9 @@ def near_classes(
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row of each class, with all its columns; among equal rows it does not matter which stays."""
-    kept = near_classes(docs, id_col, text_col, **settings).filter("keep").select(F.col("doc_id").alias("_id"), "k1", "k2").distinct()
+    kept = near_classes(docs, id_col, text_col, **settings).filter("keep").select("doc_id", F.col("k1").alias("c1"), F.col("k2").alias("c2")).distinct()
     k1, k2 = digest_columns(F.when(F.trim(F.translate(F.col(text_col), "\t\n\x0b\x0c\r", "     ")) != "", F.col(text_col)))
-    marked = docs.withColumns({"_k1": k1, "_k2": k2})
-    same = marked[id_col].eqNullSafe(kept["_id"]) & (marked["_k1"] == kept["k1"]) & (marked["_k2"] == kept["k2"])
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, "_k1", "_k2"]).drop("_k1", "_k2")
+    # Rows travel as one column, so that no name of theirs meets another.
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["id", "k1", "k2"]).select("whole.*")

@@ -34,6 +34,10 @@ from odoscan.llm.vocab import encoder
 
 #: Parts of a window in which remainders are measured.
 UNITS = 128
+#: Remainders of at most so many parts are laid end to end, so that rounding them up to parts wastes nothing.
+TINY = 8
+#: Windows of a pattern that one row lists.
+LISTED = 10_000
 #: Free parts that a greedy pattern may leave; worse ones are laid end to end instead.
 SLACK = 2
 
@@ -123,6 +127,14 @@ def repeats(stock: np.ndarray, units: int = UNITS) -> tuple[list[tuple[tuple[int
     return plan, left
 
 
+def plan_of(stock: np.ndarray) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """``repeats`` of all but tiny remainders, which are left."""
+    tiny = stock.copy()
+    tiny[TINY + 1 :] = 0
+    plan, left = repeats(stock - tiny)
+    return plan, left + tiny
+
+
 def placements(plan: list[tuple[tuple[int, ...], int]], units: int = UNITS) -> tuple[list[tuple[int, int, int, int, int]], int]:
     """Ranges (units, first rank, end rank, first sequence, slot), and the sequences used."""
     used = np.zeros(units + 1, dtype=np.int64)
@@ -161,6 +173,8 @@ def token_ids(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, clos
 
 def place(lengths: DataFrame, window: int, rows: int) -> DataFrame:
     """(row, start, length, sequence_id, offset) for every piece of (row, n_ids)."""
+    from pyspark.sql import Window
+
     spark = lengths.sparkSession
     unit = window // UNITS
     slices = max(16, rows // 100_000)
@@ -173,17 +187,15 @@ def place(lengths: DataFrame, window: int, rows: int) -> DataFrame:
     stock = np.zeros(UNITS + 1, dtype=np.int64)
     for u, (n, _) in counts.items():
         stock[u] = n if u else 0
-    plan, left = repeats(stock)
+    plan, left = plan_of(stock)
     ranges, packed = placements(plan)
     taken = stock - left
-    laid = np.zeros(UNITS + 1, dtype=np.int64)  # first unit of each length among those laid end to end
-    laid[1:] = np.cumsum(np.arange(UNITS) * left[:-1])
-    end_to_end = -(-int((np.arange(UNITS + 1) * left).sum()) // UNITS)
+    filled = packed + sum(int(whole) for _, whole in counts.values())  # sequences before those laid end to end
 
     ranks = ranked(sized, ["units"], ["row"], "rank", slices)
     schema = "r_units int, low long, high long, first long, slot int"
     table = spark.createDataFrame(ranges, schema)
-    for_rest = spark.createDataFrame([(u, int(taken[u]), int(laid[u])) for u in range(1, UNITS + 1)], "l_units int, taken long, laid long")
+    for_rest = spark.createDataFrame([(u, int(taken[u])) for u in range(1, UNITS + 1)], "l_units int, taken long")
     # Both tables have at most a few hundred rows, whatever the input.
     rest = ranks.filter("units > 0")
     in_pattern = rest.join(
@@ -192,39 +204,38 @@ def place(lengths: DataFrame, window: int, rows: int) -> DataFrame:
         "row", (F.col("n_full") * window).alias("start"), F.col("rest").alias("length"),
         (F.col("first") + F.col("rank") - F.col("low")).alias("sequence_id"), "slot",
     )
-    at = F.col("laid") + (F.col("rank") - F.col("taken")) * F.col("units")
-    free = (UNITS - F.col("at") % UNITS) * unit
-    crossing = F.least(F.col("rest"), free)
+    # What the patterns leave, end to end: running counts of tokens within slices, then the sums of earlier slices.
+    in_slice = F.pmod(F.xxhash64("row"), F.lit(slices))
+    inside = Window.partitionBy("_slice").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    left_over = rest.join(F.broadcast(for_rest), (F.col("units") == F.col("l_units")) & (F.col("rank") >= F.col("taken")))
+    left_over = left_over.select("row", "n_full", "rest", in_slice.alias("_slice"))
+    line_sums = left_over.groupBy("_slice").agg(F.sum("rest").alias("n"))
+    line_before = line_sums.select("_slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    none = F.lit(0).cast("long")
+    two = F.array(
+        F.struct(none.alias("skip"), F.col("cut").alias("length"), none.alias("next")),
+        F.struct(F.col("cut").alias("skip"), (F.col("rest") - F.col("cut")).alias("length"), F.lit(1).cast("long").alias("next")),
+    )
     line = (
-        rest.join(F.broadcast(for_rest), (F.col("units") == F.col("l_units")) & (F.col("rank") >= F.col("taken")))
-        .withColumn("at", at)
-        .withColumn("cut", crossing)
-        .withColumn(
-            "piece",
-            F.explode(
-                F.array(
-                    F.struct(F.lit(0).cast("long").alias("skip"), F.col("cut").alias("length"), F.lit(0).cast("long").alias("next")),
-                    F.struct(F.col("cut").alias("skip"), (F.col("rest") - F.col("cut")).alias("length"), F.lit(1).cast("long").alias("next")),
-                )
-            ),
-        )
+        left_over.withColumn("own", F.coalesce(F.sum("rest").over(inside), F.lit(0)))
+        .join(line_before, "_slice")
+        .withColumn("at", F.col("own") + F.col("before"))
+        .withColumn("cut", F.least(F.col("rest"), window - F.col("at") % window))
+        .withColumn("piece", F.explode(two))
         .filter("piece.length > 0")
         .select(
             "row", (F.col("n_full") * window + F.col("piece.skip")).alias("start"), F.col("piece.length").alias("length"),
-            (F.floor(F.col("at") / UNITS) + F.col("piece.next") + packed).alias("sequence_id"),
-            (F.col("at") % UNITS * (1 - F.col("piece.next"))).cast("int").alias("slot"),
+            (F.floor(F.col("at") / window) + F.col("piece.next") + filled).alias("sequence_id"),
+            (F.col("at") % window * (1 - F.col("piece.next"))).alias("offset"),
         )
     )
-    from pyspark.sql import Window
-
     ahead = Window.partitionBy("sequence_id").orderBy("slot", "row").rowsBetween(Window.unboundedPreceding, -1)
-    shared = in_pattern.unionByName(line).withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0))).drop("slot")
+    shared = in_pattern.withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0))).drop("slot").unionByName(line)
 
     # Whole windows: running counts within slices, then the sums of earlier slices.
-    whole = sized.filter("n_full > 0").withColumn("_slice", F.pmod(F.xxhash64("row"), F.lit(slices)))
-    inside = Window.partitionBy("_slice").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    whole = sized.filter("n_full > 0").withColumn("_slice", in_slice)
     sums = whole.groupBy("_slice").agg(F.sum("n_full").alias("n"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
     offsets = sums.select("_slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     full = (
         whole.withColumn("own", F.coalesce(F.sum("n_full").over(inside), F.lit(0)))
@@ -232,7 +243,7 @@ def place(lengths: DataFrame, window: int, rows: int) -> DataFrame:
         .select("row", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("n_full") - 1)).alias("k", "_"), "own", "before")
         .select(
             "row", (F.col("k").cast("long") * window).alias("start"), F.lit(window).cast("long").alias("length"),
-            (F.col("own") + F.col("before") + F.col("k") + packed + end_to_end).alias("sequence_id"),
+            (F.col("own") + F.col("before") + F.col("k") + packed).alias("sequence_id"),
             F.lit(0).cast("long").alias("offset"),
         )
     )
@@ -251,17 +262,21 @@ def place_in_order(lengths: DataFrame, window: int, rows: int) -> DataFrame:
     stock = np.zeros(UNITS + 1, dtype=np.int64)
     for r in sized.filter("units > 0").groupBy("units").count().collect():
         stock[r["units"]] = r["count"]
-    plan, left = repeats(stock)
+    plan, left = plan_of(stock)
     packed = sum(times for _, times in plan)
     deals, at = [], 0  # patterns, then what they leave of each length
     for pattern, times in [*plan, *(((u,), int(left[u])) for u in range(1, UNITS + 1) if left[u])]:
         deals.append((at, int(times), [int(u) for u in pattern]))
         at += int(times)
-    table = spark.createDataFrame(deals, "first long, times long, pattern array<int>")
+    # A pattern's windows are listed in bounded pieces of its own range.
+    deal = spark.createDataFrame(deals, "first long, times long, pattern array<int>")
+    starts = F.sequence(F.col("first"), F.col("first") + F.col("times") - 1, F.lit(LISTED).cast("long"))
+    table = deal.select("*", F.explode(starts).alias("low")).withColumn("high", F.least(F.col("low") + LISTED, F.col("first") + F.col("times")))
+    table = table.withColumn("piece", F.xxhash64("low"))
     # Every place in a pattern, at the fraction of the order at which its turn comes.
     places = (
-        spark.range(at)
-        .join(F.broadcast(table), (F.col("id") >= F.col("first")) & (F.col("id") < F.col("first") + F.col("times")))
+        table.repartition("piece")
+        .select("*", F.explode(F.sequence("low", F.col("high") - 1)).alias("id"))
         .select("id", ((F.col("id") - F.col("first") + 0.5) / F.col("times")).alias("turn"), F.posexplode("pattern").alias("slot", "units"))
     )
     dealt = ranked(places, ["units"], ["turn", "id", "slot"], "rank", slices, F.floor(F.col("turn") * slices).cast("int"))

@@ -43,9 +43,10 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_secrets")
 def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from odoscan.llm.secrets import scan_secrets
+    from odoscan.llm.secrets import letter_pairs, scan_secrets
 
-    found = scan_secrets(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents")
+    found = scan_secrets(docs, vocabulary("byte_bpe_50k.tiktoken"), pairs=letter_pairs(docs))
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
         F.col("joined").alias("spans"), "n_random",
@@ -54,45 +55,63 @@ def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_simhash")
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated doc_ids, which the table does not have, would each meet every text of that id."""
+    """A row is known by its file and its place there, so null and repeated ids are rows like any others.
+
+    Rows follow one another by id, nulls first, and rows of one id by file and place.
+    """
     from odoscan.llm.common import stage
     from odoscan.llm.simhash import fingerprints, following, hexed, likeness
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lengths = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"))
-    turned = following(lengths, "doc_id", ["doc_id"])
-    links = stage(turned)
+    rows = table(spark, sf_dir, "documents")
+    place = [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")]
+    docs = rows.select(*place, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    key = ["f", "i"]
+    lengths = docs.select(*key, "doc_id", F.length("text").cast("long").alias("n_chars"))
+    links = stage(following(lengths, ["doc_id", *key], key))
     # The beginning that a document lends to the one before it is all that travels of it besides its own text.
-    wanted = links.select(F.col("next_doc_id").alias("doc_id"), F.col("doc_id").alias("to"), F.floor(F.col("n_chars") / 4).alias("n"))
-    lent = docs.join(wanted, "doc_id").select(F.col("to").alias("doc_id"), "n", F.expr("left(text, int(n))").alias("head"))
-    length = F.length("text")
-    edited = docs.join(lent, "doc_id").select(
-        "doc_id", "text", length.cast("long").alias("n_chars"),
+    wanted = links.select(F.col("next_f").alias("f"), F.col("next_i").alias("i"), F.col("f").alias("to_f"), F.col("i").alias("to_i"), F.floor(F.col("n_chars") / 4).alias("n"))
+    lent = docs.join(wanted, key).select(F.col("to_f").alias("f"), F.col("to_i").alias("i"), "n", F.expr("left(text, int(n))").alias("head"))
+    edited = docs.join(lent, key).select(
+        *key, "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
         F.concat(F.expr("left(text, int(length(text) - n))"), "head").alias("edited"),
     )
+    known = [*key, "doc_id", "n_chars", "edited_sha256", "version"]
     both = edited.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        *key, "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.posexplode(F.array("text", "edited")).alias("version", "text"),
     )
-    prints = fingerprints(
-        both.select(F.struct("doc_id", "n_chars", "edited_sha256", "version").alias("key"), "text"), "key", "text"
-    )
-    wide = prints.groupBy(F.col("key.doc_id").alias("doc_id"), F.col("key.n_chars").alias("n_chars")).agg(
-        F.max(F.when(F.col("key.version") == 1, F.col("key.edited_sha256"))).alias("edited_sha256"),
-        F.max(F.when(F.col("key.version") == 0, F.col("fingerprint"))).alias("own"),
-        F.max(F.when(F.col("key.version") == 1, F.col("fingerprint"))).alias("edited"),
-    )
+    prints = fingerprints(both.select(F.struct(*known).alias("key"), "text"), "key", "text").select("key.*", "fingerprint")
+    wide = prints.groupBy(*key).agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_chars").alias("n_chars"),
+        F.max(F.when(F.col("version") == 1, F.col("edited_sha256"))).alias("edited_sha256"),
+        F.max(F.when(F.col("version") == 0, F.col("fingerprint"))).alias("own"),
+        F.max(F.when(F.col("version") == 1, F.col("fingerprint"))).alias("edited"),
+    )
     wide = stage(wide)
-    after = links.select("doc_id", "next_doc_id").join(
-        wide.select(F.col("doc_id").alias("next_doc_id"), F.col("own").alias("next")), "next_doc_id"
+    after = links.select(*key, F.col("next_f").alias("g"), F.col("next_i").alias("j")).join(
+        wide.select(F.col("f").alias("g"), F.col("i").alias("j"), F.col("own").alias("next")), ["g", "j"]
     )
-    return wide.join(after.drop("next_doc_id"), "doc_id").select(
+    return wide.join(after.drop("g", "j"), key).select(
         "doc_id", "n_chars", "edited_sha256", hexed(F.col("own")).alias("fingerprint"),
         hexed(F.col("edited")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited")).alias("near_edited"),
         likeness(F.col("own"), F.col("next")).alias("near_next"),
     )
 
 
+@query("simhash_radius")
+def simhash_radius_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct fingerprint within three bits of that of a row whose id is divisible by 100, with its smallest id and its rows."""
+    from odoscan.llm.common import stage
+    from odoscan.llm.simhash import fingerprints, hexed, within_radius
+
+    docs = table(spark, sf_dir, "documents").select(F.struct(F.xxhash64("_metadata.file_path").alias("f"), "_metadata.row_index", "doc_id").alias("key"), "text")
+    prints = stage(fingerprints(docs, "key", "text").select("key.doc_id", "fingerprint"))
+    asking = prints.filter("doc_id % 100 = 0")
+    groups = prints.groupBy(F.col("fingerprint").alias("other")).agg(F.min("doc_id").alias("other_id"), F.count(F.lit(1)).alias("other_rows"))
+    found = within_radius(asking, prints).join(groups, "other")
+    return asking.join(found, "fingerprint").select("doc_id", hexed(F.col("other")).alias("other"), "distance", "other_id", "other_rows")
+
+
 @query("op8_substring_dedup")
 def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odoscan.llm.substring import remove_repeats
@@ -106,7 +125,9 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odoscan.llm.mixing import mix
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    placed = mix(docs, ["doc_id"])
+    # Targets: one to four parts, in turn, by the sources' order. One row per source.
+    names = sorted((r["source"] for r in docs.select("source").distinct().collect()), key=lambda s: (s is None, str(s)))
+    placed = mix(docs, ["doc_id"], weights={s: 1 + i % 4 for i, s in enumerate(names)})
     return placed.select("doc_id", "source", *[F.col(f"_{c}").alias(c) for c in ("block", "place", "release", "deadline", "slot")])
 
 

@@ -6,6 +6,11 @@ that are random by nature but known not to be secrets are excluded first: digest
 the usual lengths, UUIDs, numbers, dates, and identifiers whose parts themselves need
 few tokens. All others, of letters only too, are decided by their characters per token.
 
+A vocabulary breaks long rare words of prose, in particular of languages it knows little of, into
+short tokens as well. Where ``letter_pairs`` of the table are given, a string of letters only is therefore prose if
+its pairs of neighbouring letters are commoner in the table than under equally likely letters. Random
+letters are not: half of their pairs are rare in any language.
+
 Spans are in code points, end exclusive. Null texts are empty and have no spans. Rows
 are scanned one by one, so repeated rows, ties and extra columns need no rule.
 """
@@ -13,15 +18,17 @@ are scanned one by one, so repeated rows, ties and extra columns need no rule.
 from __future__ import annotations
 
 import base64
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odoscan.llm.common import byte_chunks, text_of
+from odoscan.llm.common import LOWER, byte_chunks, text_of
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -72,14 +79,50 @@ def identifier(word: str, path: str, ratio: float) -> bool:
     return sum(map(len, letters)) >= ratio * sum(len(encode(p)) for p in letters)
 
 
+#: Log2 of a letter's chance after another, 26 by 26; none where the table's prose is not known.
+Pairs = tuple[tuple[float, ...], ...]
+
+
+def letter_pairs(docs: DataFrame, text_col: str = "text") -> Pairs:
+    """How likely an ASCII letter follows another one in the texts, whatever their case; 676 counts reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(26 * 26, dtype=np.int64)
+        for batch in batches:
+            raw, offsets = text_of(batch.column(0))
+            for low, high in byte_chunks(offsets):
+                letters = LOWER[raw[offsets[low] : offsets[high]]].astype(np.int16) - 97
+                inside = (letters >= 0) & (letters < 26)
+                both = inside[1:] & inside[:-1]
+                ends = offsets[low + 1 : high] - offsets[low] - 1
+                both[ends[(ends >= 0) & (ends < len(both))]] = False  # not from one text into the next
+                total += np.bincount(letters[:-1][both] * 26 + letters[1:][both], minlength=26 * 26)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(26 * 26)), pa.array(total)], ["pair", "n"])
+
+    counts = np.ones((26, 26))
+    for r in docs.select(F.col(text_col)).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[divmod(r["pair"], 26)] += r["n"]
+    return tuple(map(tuple, np.log2(counts / counts.sum(axis=1, keepdims=True)).tolist()))
+
+
+def prose(word: str, pairs: Pairs) -> bool:
+    """Letters only, and likelier than equally likely letters."""
+    if not (word.isascii() and word.isalpha()):
+        return False
+    places = [ord(c) - 97 for c in word.lower()]
+    return sum(pairs[a][b] for a, b in zip(places, places[1:], strict=False)) > -math.log2(26) * (len(places) - 1)
+
+
 @lru_cache(1 << 16)
-def random_string(word: str, path: str, ratio: float) -> bool:
+def random_string(word: str, path: str, ratio: float, pairs: Pairs | None = None) -> bool:
+    if pairs is not None and prose(word, pairs):
+        return False
     if known_harmless(word) or len(word) >= ratio * len(vocabulary(path).encode_ordinary(word)):
         return False
     return not identifier(word, path, ratio)
 
 
-def scan(text: str, path: str, ratio: float = RATIO) -> list[tuple[int, str, int]]:
+def scan(text: str, path: str, ratio: float = RATIO, pairs: Pairs | None = None) -> list[tuple[int, str, int]]:
     """All spans of a text as (start, kind, end), by start and then kind as listed."""
     found: list[tuple[int, str, int]] = []
     lowered = text.lower()
@@ -88,7 +131,7 @@ def scan(text: str, path: str, ratio: float = RATIO) -> list[tuple[int, str, int
     if "AKIA" in text:
         found += [(m.start(), "access", m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), "hex", m.end()) for m in _HEX.finditer(text)]
-    found += [(m.start(), "random", m.end()) for m in _CANDIDATE.finditer(text) if random_string(m[0], path, ratio)]
+    found += [(m.start(), "random", m.end()) for m in _CANDIDATE.finditer(text) if random_string(m[0], path, ratio, pairs)]
     found.sort(key=lambda s: (s[0], KINDS.index(s[1])))
     return found
 
@@ -107,7 +150,9 @@ def redact(text: str, spans: list[tuple[int, str, int]], mark: str = "[SECRET]")
     return "".join([*out, text[at:]])
 
 
-def scan_secrets(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", ratio: float = RATIO) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", ratio: float = RATIO, pairs: Pairs | None = None
+) -> DataFrame:
     """Spans and a redacted text per row.
 
     Columns: doc_id, spans (array of kind, start, end), n_assign, n_access, n_hex,
@@ -126,7 +171,7 @@ def scan_secrets(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id",
             _, offsets = text_of(batch.column(1))
             for low, high in byte_chunks(offsets):
                 texts = batch.column(1).slice(low, high - low).fill_null("").to_pylist()
-                spans = [scan(t, vocabulary_file, ratio) for t in texts]
+                spans = [scan(t, vocabulary_file, ratio, pairs) for t in texts]
                 counts = [pa.array([sum(s[1] == k for s in row) for row in spans], pa.int64()) for k in KINDS]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -144,8 +189,7 @@ def scan_secrets(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id",
 
 
 
-
-def redact_secrets(docs: DataFrame, vocabulary_file: str, text_col: str = "text", ratio: float = RATIO) -> DataFrame:
+def redact_secrets(docs: DataFrame, vocabulary_file: str, text_col: str = "text", ratio: float = RATIO, pairs: Pairs | None = None) -> DataFrame:
     """All rows and columns of ``docs``, with every secret in the text replaced by a mark; null texts stay null."""
     at = docs.columns.index(text_col)
 
@@ -155,7 +199,7 @@ def redact_secrets(docs: DataFrame, vocabulary_file: str, text_col: str = "text"
             for low, high in byte_chunks(offsets):
                 part = batch.slice(low, high - low)
                 texts = part.column(at).to_pylist()
-                texts = [t if t is None else redact(t, scan(t, vocabulary_file, ratio)) for t in texts]
+                texts = [t if t is None else redact(t, scan(t, vocabulary_file, ratio, pairs)) for t in texts]
                 columns = [*part.columns[:at], pa.array(texts, part.schema.field(at).type), *part.columns[at + 1 :]]
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 

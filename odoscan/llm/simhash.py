@@ -98,7 +98,7 @@ def within_radius(left: DataFrame, right: DataFrame, radius: int = 3, blocks: in
     return met.filter((F.col("distance") <= radius) & (first == F.col("table"))).select("fingerprint", "other", "distance")
 
 
-def following(rows: DataFrame, order: str, carried: Sequence[str]) -> DataFrame:
+def following(rows: DataFrame, order: Sequence[str], carried: Sequence[str]) -> DataFrame:
     """Add ``next_<column>`` from the next row in order; after the last row comes the first.
 
     ``rows`` must be narrow, written, and unique in ``order``. Rows are range-partitioned;
@@ -109,15 +109,15 @@ def following(rows: DataFrame, order: str, carried: Sequence[str]) -> DataFrame:
 
     from odoscan.operators.ordering import stage
 
-    slices = max(1, min(4096, rows.count() // 50_000 + 1))
-    cut = stage(rows.repartitionByRange(slices, order).withColumn("_slice", F.spark_partition_id()))
+    slices = max(1, rows.count() // 50_000 + 1)
+    cut = stage(rows.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
     given = F.struct(*[F.col(c) for c in carried])
-    inside = Window.partitionBy("_slice").orderBy(order)
+    inside = Window.partitionBy("_slice").orderBy(*order)
     local = cut.withColumn("_next", F.lead(given).over(inside))
-    heads = cut.groupBy("_slice").agg(F.min_by(given, F.struct(order)).alias("_head"))  # at most 4096 rows
+    heads = cut.groupBy("_slice").agg(F.min_by(given, F.struct(*order)).alias("_head"))  # one row per 50,000
     chain = Window.orderBy("_slice")
     first = F.first("_head").over(chain.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     later = heads.select("_slice", F.coalesce(F.lead("_head").over(chain), first).alias("_later"))
-    joined = local.join(F.broadcast(later), "_slice")
+    joined = local.join(later, "_slice")
     picked = F.coalesce(F.col("_next"), F.col("_later"))
     return joined.select(*rows.columns, *[picked[c].alias(f"next_{c}") for c in carried])

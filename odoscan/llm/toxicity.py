@@ -208,7 +208,7 @@ def _sample(rows: DataFrame, most: int) -> DataFrame:
     """About ``most`` rows by a hash of the id, or all if there are fewer."""
     total = rows.count()
     share = min(1.0, most / max(total, 1))
-    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) < F.lit(int(share * (1 << 62))))
 
 
 def _ids(rows: DataFrame, plan: Plan) -> list:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 
@@ -22,8 +23,8 @@ class WordEncoder:
 
     Such a vocabulary never merges across a blank or a line feed, so a text's ids are
     the ids of its blank-separated words in a row. Nor does it merge a letter or digit
-    with a comma or full stop, so "word," is "word" and ",". Every distinct word is
-    encoded once by ``tokenizers``; strings of special tokens are ordinary text.
+    with a comma or full stop, so "word," is "word" and ",", unless the normalised letter
+    ends in a combining mark, which joins the comma. Every distinct word is encoded once by ``tokenizers``; strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -58,7 +59,7 @@ class WordEncoder:
     @staticmethod
     def _core(word: str) -> tuple[str, str]:
         mark = ""
-        if word[-1] in ",." and word[-2:-1].isalnum():
+        if word[-1] in ",." and unicodedata.normalize("NFC", word[-2:-1].lower())[-1:].isalnum():
             word, mark = word[:-1], word[-1]
         return (word.lower() if word.isascii() else word), mark
 

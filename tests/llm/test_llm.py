@@ -8,11 +8,12 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from odoscan.llm import ann, mixing, order_minhash, packing, secrets, simhash, substring, suffix, token_counts, toxicity
-from odoscan.llm.common import ranked
+from odoscan.llm.common import ranked, text_of
 from odoscan.llm.components import components
 from odoscan.llm.queries import vocabulary
 
@@ -77,6 +78,35 @@ def test_plan_uses_each_length_as_often_as_it_occurs():
         assert (used + left == stock).all() and all(sum(p) <= packing.UNITS for p, _ in plan)
 
 
+def test_letters_before_a_mark_are_encoded_as_the_vocabulary_does():
+    from odoscan.llm.vocab import WordEncoder
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    model, mine = Tokenizer.from_file(path), WordEncoder(path)
+    model.encode_special_tokens = True
+    letters = [chr(c) for c in range(0x30, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()]
+    for low in range(0, len(letters), 25_000):
+        texts = [f"a{c}{m}" for c in letters[low : low + 25_000] for m in ",."]
+        want = [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
+        raw, offsets = text_of(pa.array(texts))
+        ids, first = mine.encode(raw, offsets)
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] == want
+
+
+def test_tiny_texts_leave_no_padding(spark):
+    path = vocabulary("word_bpe_49k.json")
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.col("id").alias("turn"))
+    for order in (None, ["turn"]):
+        got = packing.pack(frame, path, order=order).collect()
+        tokens = sum(r["length"] for r in got)
+        assert len({r["doc_id"] for r in got}) == 3000 and len({r["sequence_id"] for r in got}) == -(-tokens // 2048)
+        filled = {}
+        for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+            assert r["offset"] == filled.get(r["sequence_id"], 0)
+            filled[r["sequence_id"]] = r["offset"] + r["length"]
+
+
 def test_nnls_against_a_known_solution():
     matrix = np.random.default_rng(0).random((8, 20))
     want = np.zeros(20)
@@ -112,6 +142,40 @@ def test_random_strings_of_few_or_no_digits_are_found():
     assert not any(map(found, plain))
 
 
+def test_prose_of_the_table_is_no_secret(spark):
+    path, rng = vocabulary("byte_bpe_50k.tiktoken"), random.Random(4)
+    syllables = ["chung", "lich", "keit", "ver", "bepf", "ein", "auf", "ge", "schen", "ungen", "zer"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(4, 6)))
+    texts = [" ".join([word() for _ in range(200)]) for _ in range(20)] + [None, "", "a"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    pairs = secrets.letter_pairs(frame)
+    assert all(sum(2**x for x in row) == pytest.approx(1) for row in pairs)
+    spans = lambda t, p: [t[a:b] for a, k, b in secrets.scan(t, path, pairs=p) if k == "random"]
+    words = [word() for _ in range(300)]
+    found = [w for w in words if len(w) >= 16 and spans(w, None)]
+    assert found and not any(spans(w, pairs) for w in found)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.choice(letters + letters.upper()) for _ in range(40)) for _ in range(200)]
+    keys += ["".join(rng.choice(letters.upper()) for _ in range(24)) for _ in range(200)]
+    assert sum(bool(spans(k, pairs)) for k in keys) >= 398
+    assert secrets.letter_pairs(frame.limit(0))[0][0] == pytest.approx(-np.log2(26))
+
+
+def plain_fingerprint(hashes, weights):
+    votes = [sum(w if h >> k & 1 else -w for h, w in zip(hashes, weights, strict=True)) for k in range(64)]
+    return sum(1 << k for k, v in enumerate(votes) if v > 0)
+
+
+def test_fingerprint_bits_are_weighted_votes(spark, docs):
+    got = {r["doc_id"]: r["fingerprint"] % (1 << 64) for r in simhash.fingerprints(docs, "doc_id", "text").collect()}
+    split = {i: re.split(r"[\x20\t\n\x0b\x0c\r]", t or "") for i, t in enumerate(TEXTS)}
+    distinct = sorted({w for ws in split.values() for w in ws})
+    frame = spark.createDataFrame([(w,) for w in distinct], "w string")
+    hashed = {r["w"]: r["h"] % (1 << 64) for r in frame.select("w", F.xxhash64("w").alias("h")).collect()}
+    for i, ws in split.items():
+        assert got[i] == plain_fingerprint([hashed[w] for w in ws], [min(len(w), 16) for w in ws])
+
+
 def test_fingerprints_and_block_tables(spark, docs, empty):
     got = {r["doc_id"]: r["fingerprint"] for r in simhash.fingerprints(docs, "doc_id", "text").collect()}
     assert got[5] == got[6] == got[7] and got[0] == got[1] == got[2] == 0 and got[3] == got[17]
@@ -127,7 +191,7 @@ def test_fingerprints_and_block_tables(spark, docs, empty):
 
 def test_following_row(spark):
     frame = spark.createDataFrame([(i * 3 % 101, i) for i in range(101)], "a long, b long")
-    got = {r["a"]: r["next_a"] for r in simhash.following(frame, "a", ["a"]).collect()}
+    got = {r["a"]: r["next_a"] for r in simhash.following(frame, ["a"], ["a"]).collect()}
     assert got == {i: (i + 1) % 101 for i in range(101)}
 
 
@@ -274,6 +338,26 @@ def test_nearest_vectors(spark):
     assert ann.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_equal_vectors_get_equal_scores_wherever_they_stand(spark):
+    rng = np.random.default_rng(9)
+    for dim in (3, 7, 17, 33, 64):
+        one, q = rng.normal(size=dim) * 1000, rng.normal(size=dim)
+        vectors = rng.normal(size=(200, dim))
+        vectors[rng.permutation(200)[:120]] = one
+        score = (vectors * q).sum(axis=1)
+        assert len(set(score[(vectors == one).all(axis=1)].tolist())) == 1
+    vectors = rng.normal(size=(400, 17)) * 100
+    vectors[rng.permutation(400)[:150]] = vectors[5]  # over a third are one vector, in every block
+    vectors[rng.permutation(400)[:60]] = vectors[8]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    got = ann.search(frame, F.col("vec_id") % 20 == 0, block=90, query_block=6).collect()
+    for qid in range(0, 400, 20):
+        score = (vectors * vectors[qid]).sum(axis=1)
+        want = [int(i) for i in np.lexsort((np.arange(400), -score)) if i != qid][:20]
+        mine = sorted((r for r in got if r["query_id"] == qid), key=lambda r: r["rank"])
+        assert [r["vec_id"] for r in mine] == want and [r["score"] for r in mine] == [score[i] for i in want]
+
+
 def test_recall_with_the_usual_bound():
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(4000, 64))
@@ -289,13 +373,6 @@ def test_recall_with_the_usual_bound():
 
 
 def test_mixing_keeps_every_source_within_a_block(spark, docs, empty):
-    slots = mixing.shares({"a": 0.5, "b": 0.3, None: 0.2, "c": 0.0001}, 100)
-    assert sum(slots.values()) == 100 and slots["c"] == 1
-    got = Counter()
-    for s, i, slot in sorted(mixing.cycle_slots(slots, 100), key=lambda x: x[2]):
-        assert i * 100 // slots[s] <= slot < -(-(i + 1) * 100 // slots[s])
-        got[s] += 1
-        assert all(abs(got[x] - slots[x] * (slot + 1) / 100) < 1 for x in slots)
     placed = mixing.mix(docs, ["doc_id"], block=2, cycle=50).collect()
     assert len(placed) == len(TEXTS) and len({(r["_slot"], r["_place"]) for r in placed}) == len(TEXTS)
     assert all(r["_release"] <= r["_slot"] < r["_deadline"] for r in placed)
@@ -425,3 +502,41 @@ def test_edited_texts_follow_the_contract(spark, tmp_path, docs):
         n = len(text) // 4
         assert got[i]["edited_sha256"] == hashlib.sha256((text[: len(text) - n] + after[:n]).encode()).hexdigest()
         assert got[i]["n_chars"] == len(text)
+
+
+def test_rows_without_or_with_one_id_keep_their_fingerprints(spark, tmp_path):
+    from odoscan.llm.queries import QUERIES
+
+    rows = [(None, "lost words"), (4, "same row"), (4, "same row"), (4, "another text of this id"), (9, None), (None, None)]
+    spark.createDataFrame([(*r, "x", 3, "y") for r in rows], "doc_id long, text string, f string, i int, version string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op5_simhash"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or -1, r["n_chars"]) for r in got) == sorted((i or -1, len(t or "")) for i, t in rows)
+    assert len({r["fingerprint"] for r in got if r["n_chars"] == 8}) == 1
+
+
+def test_radius_query_equals_brute_force(spark, tmp_path):
+    from odoscan.llm.queries import QUERIES
+
+    base = words(400, 77)
+    texts = {i: base + f" w{i % 40}" for i in range(0, 1000, 10)} | {i: words(30, i) for i in range(5, 1000, 50)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    prints = {r["doc_id"]: r["fingerprint"] % (1 << 64) for r in simhash.fingerprints(frame, "doc_id", "text").collect()}
+    want = {(a, f"{p:016x}", (prints[a] ^ p).bit_count()) for a in prints if a % 100 == 0 for p in set(prints.values()) if (prints[a] ^ p).bit_count() <= 3}
+    got = QUERIES["simhash_radius"](spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["other"], r["distance"]) for r in got} == want and len(got) == len(want)
+    assert all(r["other_id"] == min(i for i, p in prints.items() if f"{p:016x}" == r["other"]) for r in got)
+
+
+def test_rows_keep_columns_of_any_name(spark):
+    """Names that the operators use themselves come through with their values."""
+    names = ["_slice", "_rank", "_local_rank", "_before", "_n", "_of", "_source", "_s", "_i", "_o_k", "k1", "k2", "c1", "c2", "whole", "id", "row", "_k1", "_text", "number", "o0", "rank"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(i, words(30, i // 2), f"s{i % 3}", *[f"{n}{i}" for n in names]) for i in range(40)]
+    frame = spark.createDataFrame(rows, schema)
+    kept = order_minhash.drop_near_copies(frame)
+    assert kept.columns == frame.columns and set(map(tuple, kept.collect())) <= set(rows) and kept.count() == 20
+    mixed = mixing.mix(frame, ["doc_id", "text"], block=4)
+    assert {tuple(r)[: len(frame.columns)] for r in mixed.select(*frame.columns).collect()} == set(rows)
+    own = frame.withColumn("_slot", F.lit("mine")).withColumn("_block", F.lit("mine"))
+    assert mixing.mix(own, ["doc_id"], block=4).select("_slot").distinct().count() == 12
