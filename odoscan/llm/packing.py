@@ -15,7 +15,7 @@ closing id; an empty table gives no piece.
 
 With an order of the documents, each length's remainders are dealt in that order to all
 patterns alike, what the patterns leave is laid end to end in that order by exact token
-offsets, and sequences are numbered by the first document they hold.
+offsets, and sequences are numbered by the mean place of the documents they hold.
 """
 
 from __future__ import annotations
@@ -313,7 +313,7 @@ def place_in_order(lengths: DataFrame, window: int, rows: int) -> DataFrame:
         "row", (F.col("b") * window).alias("start"), F.lit(window).cast("long").alias("length"), F.col("row").alias("a"), "b", none.alias("offset")
     )
     pieces = stage(in_pattern.unionByName(end_to_end).unionByName(whole))
-    firsts = pieces.groupBy("a", "b").agg(F.min("row").alias("row"))
+    firsts = pieces.groupBy("a", "b").agg(F.avg("row").cast("long").alias("row"))
     numbers = ranked(firsts, [], ["row", "a", "b"], "sequence_id", slices, by_slice)
     return pieces.join(numbers.select("a", "b", "sequence_id"), ["a", "b"]).select("row", "start", "length", "sequence_id", "offset")
 
@@ -335,7 +335,7 @@ def pack(
     exactly one piece; offsets within a sequence have no gaps. Sequences that are not
     full are padded by the reader.
 
-    ``order`` names columns that sequences follow: they are numbered by their first document.
+    ``order`` names columns that sequences follow: they are numbered by the mean place of their documents.
     If the order is not in columns, ``arrange`` finds it: it gets doc_id, row and the ``order``
     columns of every document and returns rows with ``row`` and the columns to sort by.
     """

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from odoscan.llm.queries import vocabulary
@@ -113,6 +114,19 @@ def test_stages_return_documents_and_take_an_empty_table(spark, folder):
             docs = done
 
 
+def test_stages_keep_the_values_of_columns_they_have_names_for(spark, folder):
+    names = ["score", "_slot", "_block", "_text", "_k1", "_slice", "_rank", "_source", "_of", "_whole", "whole", "source_"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").drop("score")
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    docs.write.parquet(f"{folder}/wide.parquet")
+    docs = spark.read.parquet(f"{folder}/wide.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        done = step(spark, docs, folder)
+        assert done.schema.simpleString() == docs.schema.simpleString(), name
+        rows = done.select("doc_id", *names).collect()
+        assert len(rows) > 500 and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names), name
+
+
 def test_mixing_keeps_every_row(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, folder)
