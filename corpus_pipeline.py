@@ -8,7 +8,7 @@ last one returns the pieces of the packed sequences, numbered in the order of th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odoscan.llm.common import stage
@@ -16,35 +16,40 @@ from odoscan.llm.mixing import mix
 from odoscan.llm.order_minhash import drop_near_copies
 from odoscan.llm.packing import pack
 from odoscan.llm.queries import table, vocabulary
-from odoscan.llm.secrets import redact_secrets
+from odoscan.llm.secrets import letter_pairs, redact_secrets
 from odoscan.llm.toxicity import score_texts, threshold_of, train
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, so that stages' own columns meet no name of theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays under the threshold of their language."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    scored = score_texts(docs, model)
-    return scored.filter(F.col("score") < threshold_of(model, F.col("lang"))).select(*docs.columns)
+    scored = score_texts(docs.select(whole_row(docs), "text"), model)
+    return scored.filter(F.col("score") < threshold_of(model, F.col("_whole.lang"))).select("_whole.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return drop_near_copies(docs).select(*docs.columns)
+    return drop_near_copies(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked and their lengths brought up to date."""
-    masked = redact_secrets(docs, vocabulary("byte_bpe_50k.tiktoken"))
+    masked = redact_secrets(docs, vocabulary("byte_bpe_50k.tiktoken"), pairs=letter_pairs(docs))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: written files follow it."""
-    marked = docs.withColumn("_text", F.xxhash64("text"))
+    marked = docs.select(whole_row(docs), "doc_id", "source", F.xxhash64("text").alias("_text"))
     placed = mix(marked, ["doc_id", "_text"])
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = placed.repartitionByRange(parts, "_slot", "_place").sortWithinPartitions("_slot", "_place")
-    return ordered.select(*docs.columns)
+    return ordered.select("_whole.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +58,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Files read again have no order, and the stages pass on the columns of documents only,
     so the same mix is worked out again from the few columns that decide it.
     """
-    marked = docs.withColumn("_text", F.xxhash64("text"))
+    marked = docs.select("doc_id", "text", "source", F.xxhash64("text").alias("_text"))
 
     def arrange(rows: DataFrame) -> tuple[DataFrame, list[str]]:
         return mix(rows, ["doc_id", "_text"]), ["_slot", "_place"]
