@@ -146,6 +146,9 @@ def range_filter(spark, sf_dir):
     return cleaning.filter_ranges(rows)
 
 
+_NUMBERS = ["total_fuel", "speed_raw", "ignition_raw", "Latitude", "Longitude"]
+
+
 def _interpolated(column: str) -> str:
     """Straight line between the known neighbours by row number; nearest value at the ends."""
     return f"""coalesce({column},
@@ -161,15 +164,16 @@ def _interpolated(column: str) -> str:
     "interpolate",
     f"""WITH {GAPS}, numbered AS (
   SELECT *, row_number() OVER (PARTITION BY "Vehicle_ID" ORDER BY "timestamp", rec_id) AS rn FROM gaps)
-SELECT rec_id, {r(_interpolated("total_fuel"), "total_fuel")}, {r(_interpolated("speed_raw"), "speed_raw")}
+SELECT rec_id, {", ".join(r(_interpolated(f'"{c}"'), c) for c in _NUMBERS)}
 FROM numbered WINDOW
   b AS (PARTITION BY "Vehicle_ID" ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
   a AS (PARTITION BY "Vehicle_ID" ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
 )
 def interpolate(spark, sf_dir):
-    rows = lay_out(stage(telemetry_gaps(spark, sf_dir).select("rec_id", "Vehicle_ID", "timestamp", "total_fuel", "speed_raw")), TRACK)
-    filled = cleaning.interpolate(rows, TRACK, ["total_fuel", "speed_raw"])
-    return rounded(filled.select("rec_id", "total_fuel", "speed_raw"))
+    """All numbers of the cleaned rows."""
+    gaps = telemetry_gaps(spark, sf_dir).transform(cleaning.fill_ignition).transform(cleaning.split_coordinates)
+    rows = lay_out(stage(gaps.select("rec_id", "Vehicle_ID", "timestamp", *_NUMBERS)), TRACK)
+    return rounded(cleaning.interpolate(rows, TRACK).select("rec_id", *_NUMBERS))
 
 
 @query("clean_all", f'WITH {TELEMETRY} SELECT * REPLACE ({r("Latitude", "Latitude")}, {r("Longitude", "Longitude")}) FROM telemetry')

@@ -327,16 +327,10 @@ def _training_rows(spark, sf_dir):
     return stage(labelled(built, noisy=True).select("rec_id", *names, "Stationary_drain")), names
 
 
-_TRAINED: dict[tuple[str, str], tuple] = {}
-
-
-def _trained(spark, sf_dir):
-    """All classifiers on all features and the rows behind them, built once per session and folder."""
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _TRAINED:
-        rows, names = _training_rows(spark, sf_dir)
-        _TRAINED[key] = classifiers.train(rows, names), rows
-    return _TRAINED[key]
+def _trained(spark, sf_dir, names=None):
+    """Classifiers on all features, trained anew, and the rows behind them."""
+    rows, features = _training_rows(spark, sf_dir)
+    return classifiers.train(rows, features, names=names), rows
 
 
 @query("classifiers")
@@ -355,24 +349,26 @@ def cross_validate(spark, sf_dir):
 @query("importance")
 def importance(spark, sf_dir):
     """Features by mean importance over the tree models."""
-    trained, _ = _trained(spark, sf_dir)
+    trained, _ = _trained(spark, sf_dir, classifiers.TREES)
     return classifiers.mean_importance(classifiers.importance(trained.models, trained.features, spark), 10)
 
 
-def _saved(spark, sf_dir):
-    return store.save_models(_trained(spark, sf_dir)[0], f"{shared_folder(spark)}/models-{uuid.uuid4().hex}")
+def _saved(spark, trained):
+    return store.save_models(trained, f"{shared_folder(spark)}/models-{uuid.uuid4().hex}")
 
 
 @query("predict_batch")
 def predict_batch(spark, sf_dir):
     """Raw rows through cleaning, features and a model loaded from its saved form."""
-    folder = _saved(spark, sf_dir)
-    return prediction.predict(store.load_best(spark, folder), telemetry_raw(spark, sf_dir))
+    trained, _ = _trained(spark, sf_dir)
+    return prediction.predict(store.load_best(spark, _saved(spark, trained)), telemetry_raw(spark, sf_dir))
 
 
 @query("compare_models")
 def compare_models(spark, sf_dir):
-    return prediction.compare(spark, _saved(spark, sf_dir), _trained(spark, sf_dir)[1])
+    """All saved models, loaded again, on all labelled rows."""
+    trained, rows = _trained(spark, sf_dir)
+    return prediction.compare(spark, _saved(spark, trained), rows)
 
 
 @query("detectors")
@@ -382,18 +378,3 @@ def detectors(spark, sf_dir):
     return detected.select(
         "rec_id", clusters.CLUSTER, "Is_Suspicious_Cluster", density.LABEL, "IsoForest_Score", "IsoForest_Anomaly", "Ensemble_Score", "Predicted_Anomaly"
     )
-
-
-_BUILT = ["Time_Diff", "Fuel_Diff", "Fuel_Rate", "Time_Since_Refuel", "Location_Risk_Score", "Fuel_Deviation_From_Driver", "Anomaly_Score"]
-
-
-@query(
-    "build_features",
-    f"""WITH {RULES} SELECT rec_id, {", ".join(r(f'"{c}"', c, 9 if c in ("Time_Diff",) else 6) for c in _BUILT)} FROM ruled""",
-)
-def build_all_features(spark, sf_dir):
-    """The whole feature build; a column of every set is shown."""
-    built, _ = build_features(telemetry(spark, sf_dir))
-    shown = built.select("rec_id", *_BUILT)
-    digits = {c: 9 if c == "Time_Diff" else 6 for c in _BUILT}
-    return shown.withColumns({c: F.round(c, d) + F.lit(0.0) for c, d in digits.items()})

