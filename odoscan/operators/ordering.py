@@ -65,30 +65,43 @@ def join_on(rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "l
     return rows.join(renamed, match, how).drop(*[f"_side_{k}" for k in keys])
 
 
-def lookup_join(rows: DataFrame, side: DataFrame, key: str, record: str, broadcast_rows: int) -> DataFrame:
+#: Rows of one key that a task should receive.
+ROWS_PER_TASK = 1_000_000
+#: Most keys that are spread by their own number of salts.
+MOST_HOT = 100_000
+
+
+def salted(rows: DataFrame, side: DataFrame, key: str, record: str, rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: every key has as many salts as its count needs.
+
+    Keys of over ``rows_per_task`` rows are listed with their counts (and at most ``MOST_HOT`` of
+    them, all larger than the total divided by that number), a table small enough to broadcast.
+    Rows of such a key are dealt to its salts, its row of the side is copied to each. Null keys match nothing
+    and are spread.
+    """
+    marked = rows.withColumn("_hash", F.xxhash64(key))
+    sizes = stage(marked.filter(F.col(key).isNotNull()).groupBy("_hash").count())
+    total = sizes.agg(F.sum("count")).first()[0] or 0
+    bound = max(rows_per_task, math.ceil(total / MOST_HOT), 1)
+    hot = F.broadcast(sizes.filter(F.col("count") > bound).select("_hash", F.ceil(F.col("count") / bound).cast("int").alias("_salts")))
+    dealt = F.pmod(F.xxhash64(F.lit(7), F.col(record)), F.coalesce("_salts", F.when(F.col(key).isNull(), 1000).otherwise(1)))
+    spread = marked.join(hot, "_hash", "left").withColumn("_salt", dealt.cast("int")).drop("_hash", "_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    many = side.withColumn("_hash", F.xxhash64(key)).join(hot, "_hash", "left").withColumn("_salt", F.explode(copies)).drop("_hash", "_salts")
+    return spread, many
+
+
+def lookup_join(rows: DataFrame, side: DataFrame, key: str, record: str, broadcast_rows: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Left join of a fat table with one row per key.
 
     The side is written once and counted. Up to ``broadcast_rows`` rows it is
-    broadcast. Beyond that the join shuffles: keys holding over 1/1000 of the
-    rows (at most 1000 of them) are spread over salts, the others stay whole.
+    broadcast. Beyond that the join shuffles, hot keys in parts (``salted``).
     """
     side = stage(side)
     if side.count() <= broadcast_rows:
         return rows.join(F.broadcast(side), key, "left")
-    marked = rows.withColumn("_hash", F.xxhash64(key))
-    sizes = stage(marked.filter(F.col(key).isNotNull()).groupBy("_hash").count())
-    total = sizes.agg(F.sum("count")).first()[0] or 0
-    hot = [r[0] for r in sizes.filter(F.col("count") > total / 1000).select("_hash").collect()]
-    salts = 64
-    is_hot = F.col("_hash").isin(hot) if hot else F.lit(False)
-    # Null keys match nothing, so they only need spreading.
-    spread = marked.withColumn(
-        "_salt",
-        F.when(F.col(key).isNull() | is_hot, F.pmod(F.xxhash64(record), F.lit(salts)).cast("int")).otherwise(0),
-    )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    many = side.withColumn("_hash", F.xxhash64(key)).withColumn("_salt", F.explode(copies)).drop("_hash")
-    return spread.drop("_hash").join(many, [key, "_salt"], "left").drop("_salt")
+    spread, many = salted(rows, side, key, record, rows_per_task)
+    return spread.join(many, [key, "_salt"], "left").drop("_salt")
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -105,17 +118,32 @@ def running_totals(
     totals: dict[str, Column],
     limit: int,
 ) -> DataFrame:
-    """Inclusive running sums in ``order`` within ``keys``, for groups of any size."""
-    biggest, total = largest_group(df, keys)
-    if biggest <= limit:
+    """Inclusive running sums in ``order`` within ``keys``, for groups of any size.
+
+    Without keys the rows are always cut into slices, so no window holds the whole table.
+    """
+    if keys:
+        biggest, total = largest_group(df, keys)
+    else:
+        df = stage(df)
+        biggest = total = df.count()
+    if keys and biggest <= limit:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(e).over(upto) for name, e in totals.items()})
-    slices = math.ceil(total / limit) + 1
+    slices = math.ceil(total / limit) + (1 if keys else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cut = stage(df.repartitionByRange(slices, *keys, *order).withColumn(SLICE, F.spark_partition_id()))
     by = [*keys, SLICE]
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     sums = cut.groupBy(*by).agg(*[F.sum(e).alias(name) for name, e in totals.items()])
-    offsets = sums.select(*by, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before_{name}") for name in totals])
+    if keys:
+        before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sums.select(*by, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before_{name}") for name in totals])
+    else:  # one row per slice
+        held, lines = dict.fromkeys(totals, 0), []
+        for row in sorted(sums.collect(), key=lambda r: r[SLICE]):
+            lines.append((row[SLICE], *held.values()))
+            held = {name: held[name] + (row[name] or 0) for name in totals}
+        kinds = ", ".join(f"_before_{name} {sums.schema[name].dataType.simpleString()}" for name in totals)
+        offsets = F.broadcast(df.sparkSession.createDataFrame(lines, f"{SLICE} int, {kinds}"))
     upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({name: F.sum(e).over(upto) for name, e in totals.items()})
     joined = join_on(local, offsets, by)

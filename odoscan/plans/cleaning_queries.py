@@ -246,6 +246,26 @@ def downcast(spark, sf_dir):
     return shaping.narrow_types(table(spark, sf_dir, "lineitem"))
 
 
+_NARROWED = {"l_orderkey": "BIGINT", "l_partkey": "BIGINT", "l_suppkey": "BIGINT", "l_linenumber": "INTEGER"}
+
+
+@query(
+    "downcast_rows",
+    "SELECT "
+    + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in _NARROWED)
+    + ", "
+    + ", ".join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    + " FROM lineitem",
+)
+def downcast_rows(spark, sf_dir):
+    """The rows in their narrow types, widened again for comparison: what single precision keeps."""
+    rows = shaping.downcast(table(spark, sf_dir, "lineitem").select(*_NARROWED, "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    wide = {f.name: "double" if f.dataType.simpleString() == "float" else "bigint" for f in rows.schema.fields}
+    if "double" not in wide.values() or len({f.dataType.simpleString() for f in rows.schema.fields}) < 3:
+        raise AssertionError("nothing was narrowed")
+    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in wide.items()])
+
+
 _FILLED = ("total_fuel", "speed_raw")
 
 

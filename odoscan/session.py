@@ -22,3 +22,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, name: str = "odos
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors, for clusters on which it is not installed."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='odoscan-')}/odoscan", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)  # from the driver's disk; executors fetch their own copy
+    return archive

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from odoscan.config import Settings, Track
 from odoscan.operators import cleaning, entropy, quantiles, rules, series, smoothing
-from odoscan.operators.ordering import BLOCK, SEQ, clear_layout, lay_out, lookup_join, running_totals
+from odoscan.operators.ordering import BLOCK, SEQ, clear_layout, lay_out, lookup_join, running_totals, salted
 
 WHOLE = Track()
 CUT = Track(block_rows=64)
@@ -113,3 +113,31 @@ def test_entropy_matches_numpy(fleet):
     windows = [rows["total_fuel"].to_numpy()[max(0, i - 19) : i + 1] for i in range(300)]
     got = entropy.histogram_entropy(pd.Series(windows))
     np.testing.assert_allclose(got, [reference(w) for w in windows], atol=1e-9)
+
+
+def test_hot_keys_are_spread_by_their_count(spark):
+    rows = spark.range(9000).select(
+        F.col("id"), F.when(F.col("id") < 3000, "hot").when(F.col("id") < 4000, "warm").when(F.col("id") < 4500, None).otherwise((F.col("id") % 700).cast("string")).alias("k")
+    )
+    side = rows.filter("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    spread, many = salted(rows, side, "k", "id", rows_per_task=100)
+    sizes = {(r["k"], r["_salt"]): r["count"] for r in spread.filter("k is not null").groupBy("k", "_salt").count().collect()}
+    assert max(sizes.values()) <= 150  # the largest task of a key, by its own number of salts
+    assert sum(k == "hot" for k, _ in sizes) == 30 and sum(k == "warm" for k, _ in sizes) == 10
+    assert many.filter("k = 'hot'").count() == 30 and many.filter("k = '5'").count() == 1
+    joined = lookup_join(rows, side, "k", "id", 0, rows_per_task=100)
+    want = {r["k"]: r["n"] for r in side.collect()}
+    got = joined.collect()
+    assert len(got) == 9000 and all(r["n"] == want.get(r["k"]) for r in got)
+
+
+def test_running_totals_without_keys_are_sliced(spark):
+    frame = spark.range(500).select(F.col("id"), (F.col("id") % 7).alias("v")).repartition(5)
+    got = running_totals(frame, [], ["id"], {"upto": F.col("v"), "at": F.lit(1).cast("long")}, 10_000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    total = 0
+    for r in got.orderBy("id").collect():
+        total += r["v"]
+        assert (r["upto"], r["at"]) == (total, r["id"] + 1)
+    assert running_totals(frame.limit(0), [], ["id"], {"upto": F.col("v")}, 10).count() == 0

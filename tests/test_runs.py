@@ -88,10 +88,10 @@ def test_whole_run_and_prediction(spark, sf, tmp_path):
     )
     settings = Settings(max_clusters=3, restarts=1, trees=5, boosting_rounds=3, network_rounds=20, folds=2)
     out = str(tmp_path)
-    results = training.run(rows, settings=settings, features=FEATURES, output=out, models=["logistic_regression", "random_forest"])
+    results = training.run(rows, settings=settings, features=FEATURES, output=out, models=["logistic_regression", "random_forest", "boosted_leaves", "neural_network"])
     summary = results["summary"].first()
     assert summary["total_records"] == results["predictions"].count() == rows.count()
-    assert results["models"].count() == 2 and results["models"].agg(F.max("f1")).first()[0] > 0.5
+    assert results["models"].count() == 4 and results["models"].agg(F.max("f1")).first()[0] > 0.5
     assert 0 <= summary["min"] and summary["max"] == pytest.approx(1.0)
     assert results["prediction_counts"].count() == 3 and results["detectors"].count() == 4
     alerts = results["alerts"].collect()
@@ -110,8 +110,28 @@ def test_whole_run_and_prediction(spark, sf, tmp_path):
     ranked = prediction.compare(spark, f"{out}/models", featured).collect()
     assert ranked[0]["f1"] >= ranked[1]["f1"]
 
+    # per-vehicle files that carry the label
+    sinks.write_entity_files(rows, f"{out}/new")
+    judged = prediction.evaluate_folder(spark, f"{out}/models", f"{out}/new", settings=settings)
+    cells = {(r["label"], r["prediction"]): r["n"] for r in judged["confusion"].collect()}
+    scored = judged["predictions"].select("Stationary_drain", "Predicted_Theft").collect()
+    assert sum(cells.values()) == len(scored) > 0
+    hits = sum(r["Stationary_drain"] == r["Predicted_Theft"] for r in scored)
+    found = judged["metrics"].first()
+    assert found["accuracy"] == pytest.approx(hits / len(scored)) and found["f1"] > 0.5
+    assert {r["class"]: r["support"] for r in judged["report"].collect()} == {k: sum(n for (y, _), n in cells.items() if y == k) for k in (0, 1)}
+
 
 def test_run_without_labels(spark, sf):
     rows = stepped(spark, sf).select("rec_id", "Vehicle_ID", "timestamp", "total_fuel", "speed_raw")
     results = training.run(rows, settings=Settings(max_clusters=3, restarts=1, trees=5), features=["Fuel_Diff", "speed_raw"])
     assert "models" not in results and results["summary"].first()["max"] == pytest.approx(1.0)
+
+
+def test_package_travels(spark, tmp_path):
+    import zipfile
+
+    from odoscan.session import ship_package
+
+    names = zipfile.ZipFile(ship_package(spark)).namelist()
+    assert "odoscan/session.py" in names and "odoscan/sources/files.py" in names
