@@ -64,31 +64,30 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = table(spark, sf_dir, "documents")
     place = [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")]
-    docs = rows.select(*place, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    docs = rows.select(*place, text.alias("text"))  # nothing else, so that both joins read one shuffle of the texts
     key = ["f", "i"]
-    lengths = docs.select(*key, "doc_id", F.length("text").cast("long").alias("n_chars"))
+    lengths = rows.select(*place, "doc_id", F.length(text).cast("long").alias("n_chars"))
     links = stage(following(lengths, ["doc_id", *key], key))
     # The beginning that a document lends to the one before it is all that travels of it besides its own text.
     wanted = links.select(F.col("next_f").alias("f"), F.col("next_i").alias("i"), F.col("f").alias("to_f"), F.col("i").alias("to_i"), F.floor(F.col("n_chars") / 4).alias("n"))
     lent = docs.join(wanted, key).select(F.col("to_f").alias("f"), F.col("to_i").alias("i"), "n", F.expr("left(text, int(n))").alias("head"))
     edited = docs.join(lent, key).select(
-        *key, "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
-        F.concat(F.expr("left(text, int(length(text) - n))"), "head").alias("edited"),
+        *key, "text", F.concat(F.expr("left(text, int(length(text) - n))"), "head").alias("edited"),
     )
-    known = [*key, "doc_id", "n_chars", "edited_sha256", "version"]
+    known = [*key, "edited_sha256", "version"]
     both = edited.select(
-        *key, "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        *key, F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.posexplode(F.array("text", "edited")).alias("version", "text"),
     )
     prints = fingerprints(both.select(F.struct(*known).alias("key"), "text"), "key", "text").select("key.*", "fingerprint")
     wide = prints.groupBy(*key).agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_chars").alias("n_chars"),
         F.max(F.when(F.col("version") == 1, F.col("edited_sha256"))).alias("edited_sha256"),
         F.max(F.when(F.col("version") == 0, F.col("fingerprint"))).alias("own"),
         F.max(F.when(F.col("version") == 1, F.col("fingerprint"))).alias("edited"),
     )
     wide = stage(wide)
-    after = links.select(*key, F.col("next_f").alias("g"), F.col("next_i").alias("j")).join(
+    after = links.select(*key, "doc_id", "n_chars", F.col("next_f").alias("g"), F.col("next_i").alias("j")).join(
         wide.select(F.col("f").alias("g"), F.col("i").alias("j"), F.col("own").alias("next")), ["g", "j"]
     )
     return wide.join(after.drop("g", "j"), key).select(
