@@ -28,8 +28,11 @@ def whole_row(docs: DataFrame) -> Column:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays under the threshold of their language."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    scored = score_texts(docs.select(whole_row(docs), "text"), model)
-    return scored.filter(F.col("score") < threshold_of(model, F.col("_whole.lang"))).select("_whole.*")
+    # Names of the stage's own, so that the score meets no column of that name; texts travel once.
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    scored = score_texts(docs.toDF(*own.values()), model, own["text"])
+    kept = scored.filter(F.col("score") < threshold_of(model, F.col(own["lang"])))
+    return kept.select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
