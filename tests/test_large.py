@@ -38,3 +38,25 @@ def test_quantiles_beside_what_is_not_a_number(spark):
     small = quantiles.quantiles(frame, ["x"], probs).first()[0]
     large = quantiles.quantiles(frame, ["x"], probs, settings=Settings(exact_group_rows=1)).first()[0]
     assert large == pytest.approx(small, nan_ok=True)
+
+
+def test_kmeans_jobs_do_not_add_up_over_the_fits(spark):
+    from odoscan.models import clusters
+
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=(80, 3)) * 0.3 + c for c in ([0, 0, 0], [6, 6, 0], [0, 6, 6])] + [np.zeros((60, 3))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "rec_id long, v array<double>")
+    sc = spark.sparkContext
+    sc.setJobGroup("few", "k-means restarts")
+    labelled, few = clusters.cluster(frame, "v", 3, Settings(restarts=2))
+    sc.setJobGroup("many", "k-means restarts")
+    _, many = clusters.cluster(frame, "v", 3, Settings(restarts=12))
+    sc.setJobGroup("", "")
+    jobs = [len(sc.statusTracker().getJobIdsForGroup(g)) for g in ("few", "many")]
+    assert 0 < jobs[1] <= 2 * jobs[0]
+    want = sum(((part - part.mean(axis=0)) ** 2).sum() for part in (np.concatenate([x[:80], x[240:]]), x[80:160], x[160:240]))
+    assert many.cost == pytest.approx(want) and few.cost == pytest.approx(want)
+    got = labelled.toPandas().set_index("rec_id")[clusters.CLUSTER].to_numpy()
+    assert all(len(set(got[rows])) == 1 for rows in (np.r_[:80, 240:300], np.r_[80:160], np.r_[160:240]))
+    same, _ = clusters.cluster(frame.limit(40).withColumn("v", F.array(F.lit(1.0), F.lit(2.0))), "v", 3, Settings(restarts=2))
+    assert {r[clusters.CLUSTER] for r in same.collect()} == {0}
