@@ -86,7 +86,8 @@ def read_folder(
     errors = read.filter(F.col(ERROR).isNotNull()).select(F.col(roles.source).alias("path"), F.col(ERROR).alias("error"))
     rows = read.filter(F.col(ERROR).isNull()).drop(ERROR)
     if not errors.isEmpty():
-        damaged = errors.select(F.col("path").alias("_path"))
+        # Broadcast, as the planner holds the list of files anyway: dealt by path, a file's rows would meet in one task.
+        damaged = F.broadcast(errors.select(F.col("path").alias("_path")))
         rows = rows.join(damaged, F.col(roles.source) == F.col("_path"), "left_anti")
     return rows, errors
 

@@ -60,3 +60,19 @@ def test_kmeans_jobs_do_not_add_up_over_the_fits(spark):
     assert all(len(set(got[rows])) == 1 for rows in (np.r_[:80, 240:300], np.r_[80:160], np.r_[160:240]))
     same, _ = clusters.cluster(frame.limit(40).withColumn("v", F.array(F.lit(1.0), F.lit(2.0))), "v", 3, Settings(restarts=2))
     assert {r[clusters.CLUSTER] for r in same.collect()} == {0}
+
+
+def test_damaged_files_do_not_deal_rows_by_file(spark, tmp_path):
+    from odoscan.sources import folder
+
+    spark.range(1000).withColumn("x", F.col("id") * 2).repartition(3).write.parquet(str(tmp_path / "t.parquet"))
+    (tmp_path / "t.parquet" / "part-99999_damaged.parquet").write_bytes(b"PAR1 this is no footer PAR1")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the table were large
+    try:
+        rows, _ = folder.read_folder(spark, str(tmp_path / "t.parquet"), "*.parquet")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
