@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ from odoscan.llm.substring import BLOCK, count_cells, reached, text_key, window_
 
 #: Bytes of an anchor; cells in each row of the sketch; occurrences from which an anchor is common.
 GRAM, CELLS, COMMON = 40, 1 << 27, 200
-#: Strings compared at a time.
-STRINGS = 1_000_000
+#: Strings that a block gathers, and bytes of runs compared at a time.
+STRINGS, COMPARED = 1_000_000, 500_000
 
 
 class Rolling:
@@ -231,6 +232,19 @@ def repeated_ranges(docs: DataFrame, text_col: str, window: int, gram: int, size
                 for low in range(0, len(spans[0]), 50_000):
                     yield pa.RecordBatch.from_arrays([pa.array(x[low : low + 50_000]) for x in spans], ["k1", "k2", "start", "end"])
 
+        def pieces(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            """Keys stay whole; a batch may hold far more than is compared at a time."""
+            key, sizes = rows.column(0).to_numpy(), pc.fill_null(pc.binary_length(rows.column(7)), 0).to_numpy()
+            upto = np.cumsum(sizes.astype(np.int64) + 1)
+            low = 0
+            while low < len(key):
+                reach = int(np.searchsorted(upto, (upto[low - 1] if low else 0) + COMPARED, side="right"))
+                high = int(np.searchsorted(key, key[reach])) if reach < len(key) else len(key)
+                if high <= low:  # the first key alone is larger
+                    high = int(np.searchsorted(key, key[low], side="right"))
+                yield from found(rows.slice(low, high - low))
+                low = high
+
         waiting: list[pa.RecordBatch] = []
         strings = 0
         for batch in batches:
@@ -243,11 +257,11 @@ def repeated_ranges(docs: DataFrame, text_col: str, window: int, gram: int, size
                 key = rows.column(0).to_numpy()
                 cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
                 if cut:
-                    yield from found(rows.slice(0, cut))
+                    yield from pieces(rows.slice(0, cut))
                     waiting = rows.slice(cut).to_batches()
                 strings = sum(len(b) + b.column(7).nbytes for b in waiting)
         if waiting:
-            yield from found(pa.Table.from_batches(waiting))
+            yield from pieces(pa.Table.from_batches(waiting))
 
     sent = docs.select(text_col).mapInArrow(send, SCHEMA)
     kept = sent.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "k1 long, k2 long, start long, end long")
