@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odoscan.config import Roles, Settings
@@ -10,7 +10,19 @@ from odoscan.operators.cleaning import flag
 from odoscan.operators.ordering import lookup_join
 from odoscan.operators.quantiles import quantiles
 
-_AGGREGATES = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+#: Parts of a value that are added exactly, and the values small enough for that.
+_PARTS, _SMALL = 2.0**20, 2.0**40
+
+
+def steady_mean(column: str) -> Column:
+    """The mean whatever the order of the rows: multiples of 2^-20 are added as whole numbers, then what they leave."""
+    x = F.col(column).cast("double")
+    whole = F.floor(F.when(F.abs(x) < _SMALL, x) * _PARTS)
+    total = F.sum(whole.cast("decimal(20,0)")).cast("double") / _PARTS + F.sum(x - whole / _PARTS)
+    return F.when(F.max(F.abs(x)) < _SMALL, total / F.count(x)).otherwise(F.avg(x))
+
+
+_AGGREGATES = {"mean": steady_mean, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
 def _profile(df: DataFrame, key: str, prefix: str, wanted: dict[str, list[str]]) -> DataFrame:
