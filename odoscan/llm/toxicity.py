@@ -109,9 +109,12 @@ def word_contrast(texts: list[np.ndarray], labels: np.ndarray, buckets: int) ->
 
 
 def fit(texts: list[np.ndarray], labels: np.ndarray, plan: Plan) -> Model:
-    """Train on word ids; labels are 0 or 1."""
+    """Train on word ids, integers of any kind; labels are 0 or 1."""
     rng = np.random.default_rng(plan.seed)
-    table = rng.normal(0, 0.1, (plan.buckets + 1, plan.dim)).astype(np.float32)
+    table = np.empty((plan.buckets + 1, plan.dim), np.float32)
+    for low in range(0, len(table), 4096):  # the same draws as all at once, without their doubles
+        part = table[low : low + 4096]
+        part[:] = rng.normal(0, 0.1, part.shape)
     table[-1] = 0
     model = Model(plan, table)
     share = float(labels.mean()) if len(labels) else 0.0
@@ -212,7 +215,7 @@ def _sample(rows: DataFrame, most: int) -> DataFrame:
 
 
 def _ids(rows: DataFrame, plan: Plan) -> list:
-    """Collect word ids of a bounded sample, one row per text."""
+    """Collect word ids of a bounded sample, one row per text, four bytes a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,13 +224,13 @@ def _ids(rows: DataFrame, plan: Plan) -> list:
                 ids, first = word_ids(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], plan.buckets)
                 packed = [ids[a:b].astype("<u4").tobytes() for a, b in zip(first, first[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(packed, pa.binary()), batch.column(2).slice(low, high - low), batch.column(3).slice(low, high - low)],
-                    ["doc_id", "ids", "toxic", "lang"],
+                    [batch.column(0).slice(low, high - low), pa.array(packed, pa.binary()), batch.column(2).slice(low, high - low)],
+                    ["doc_id", "ids", "toxic"],
                 )
 
-    found = rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), F.col("lang").cast("string").alias("lang"))
+    found = rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = found.mapInArrow(run, f"doc_id {kind}, ids binary, toxic int, lang string").collect()
+    out = found.mapInArrow(run, f"doc_id {kind}, ids binary, toxic int").collect()
     return sorted(out, key=lambda r: (str(r["doc_id"]), r["ids"]))
 
 
@@ -242,9 +245,10 @@ def train(docs: DataFrame, labels: DataFrame, plan: Plan | None = None, folds: t
         return known.filter(F.col("fold").isin(*which))
 
     rows = _ids(texts.join(_sample(part(folds[1:]), plan.most_rows), "doc_id"), plan)
-    model = fit(
-        [np.frombuffer(r["ids"], "<u4").astype(np.int64) for r in rows], np.array([r["toxic"] for r in rows], dtype=np.float64), plan
-    )
+    toxic = np.array([r["toxic"] for r in rows], dtype=np.float64)
+    rows = [np.frombuffer(r["ids"], "<u4") for r in rows]  # views: the driver holds each id once
+    model = fit(rows, toxic, plan)
+    del rows
     calibrate(model, texts.join(part(folds[:1]), "doc_id"))
     return model
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -461,6 +462,22 @@ def test_thresholds_rest_on_all_rows_of_the_calibration_fold(spark):
         assert f1(mine, cut) >= max(f1(mine, k / toxicity.BINS) for k in range(0, toxicity.BINS + 1, 16)) - 1e-12
 
 
+def test_toxicity_fit_is_lean():
+    """Ids of four bytes are used as they are, and the table is drawn in parts: the same model in less memory."""
+    plan, rng = toxicity.Plan(epochs=1), np.random.default_rng(5)
+    texts = [rng.integers(0, 5000, 40).astype("<u4") for _ in range(64)]
+    labels = (np.arange(64) % 3 == 0).astype(float)
+    tracemalloc.start()
+    model = toxicity.fit(texts, labels, plan)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * model.table.nbytes
+    wide = toxicity.fit([t.astype(np.int64) for t in texts], labels, plan)
+    assert (wide.table == model.table).all() and (wide.top == model.top).all() and wide.base == model.base
+    drawn = np.random.default_rng(plan.seed).normal(0, 0.1, (plan.buckets + 1, plan.dim)).astype(np.float32)
+    assert (model.table[5000:-1] == drawn[5000:-1]).all()
+
+
 def test_toxicity_bins_give_the_best_cut():
     rng = np.random.default_rng(4)
     for _ in range(20):
