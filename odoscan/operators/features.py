@@ -85,20 +85,21 @@ def statistical_tables(df: DataFrame, roles: Roles, settings: Settings) -> DataF
 
 
 def build_features(
-    df: DataFrame, roles: Roles = Roles(), settings: Settings = Settings(), sets: Sequence[str] = SETS
+    df: DataFrame, roles: Roles = Roles(), settings: Settings = Settings(), sets: Sequence[str] = SETS, sized_by: DataFrame | None = None
 ) -> tuple[DataFrame, dict[str, list[str]]]:
     """All features of the chosen sets, and the catalogue set -> column names.
 
     Row-order features come first, on one layout of the series. That result is
     written once; the profiles, statistics and quantiles then read only the
     columns they need from it. The rule flags are written too, so that the
-    largest rule score is a scan of one column.
+    largest rule score is a scan of one column. ``sized_by`` is as in ``lay_out``: without
+    it the rows are computed once more to find the longest series.
     """
     unknown = set(sets) - set(SETS)
     if unknown:
         raise ValueError(f"unknown feature sets: {sorted(unknown)}")
     track = roles.track(settings)
-    df = lay_out(df, track)
+    df = lay_out(df, track, sized_by)
     catalogue: dict[str, list[str]] = {}
 
     def step(name, frame, compute):

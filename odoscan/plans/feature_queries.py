@@ -11,7 +11,7 @@ from odoscan.operators.ordering import stage
 from odoscan.plans import profile_queries, score_queries, series_queries
 from odoscan.plans.registry import ORACLES, query, r, rounded
 from odoscan.plans.sql import FEATURED, PROFILED, TELEMETRY
-from odoscan.plans.views import table, telemetry
+from odoscan.plans.views import table, telemetry, uncleaned
 
 __all__ = ["profile_queries", "score_queries", "series_queries"]  # their SQL is put together here
 
@@ -77,7 +77,7 @@ _TEXT = ("TimeOfDay", "Time_Diff_Category")
 
 def _built(spark, sf_dir):
     """All features, rounded as in the SQL."""
-    built, catalogue = build_features(telemetry(spark, sf_dir))
+    built, catalogue = build_features(telemetry(spark, sf_dir), sized_by=uncleaned(spark, sf_dir))
     if {s: sorted(names) for s, names in catalogue.items()} != {s: sorted(names) for s, names in SETS.items()}:
         raise AssertionError("the build has other features than the catalogue")
     rows = built.select("rec_id", *catalogue_names(catalogue))

@@ -15,7 +15,7 @@ from odoscan.operators.ordering import shared_folder, stage
 from odoscan.plans import prediction
 from odoscan.plans.registry import query, r, rounded
 from odoscan.plans.sql import FEATURED, RULES, SCORED, STEPS
-from odoscan.plans.views import featured, labelled, profiled, scored, stepped, table, telemetry, telemetry_raw
+from odoscan.plans.views import featured, labelled, profiled, scored, stepped, table, telemetry, telemetry_raw, uncleaned
 
 _SCALED = ["total_fuel", "Fuel_Diff", "Time_Since_Refuel", "Is_Stationary", "IsWeekend"]
 
@@ -272,7 +272,7 @@ def dbscan(spark, sf_dir):
 
 def _built(spark, sf_dir):
     """Rows with all features, and the features' names."""
-    built, _ = build_features(telemetry(spark, sf_dir))
+    built, _ = build_features(telemetry(spark, sf_dir), sized_by=uncleaned(spark, sf_dir))
     return built, shaping.feature_columns(built)
 
 

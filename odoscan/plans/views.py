@@ -60,10 +60,14 @@ def telemetry_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.transform(cleaning.drop_duplicates)
 
 
+def uncleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At least as many rows of every vehicle as after cleaning, cheap to count."""
+    return table(spark, sf_dir, "events").selectExpr("concat('V', user_id) as Vehicle_ID", "explode(array(0, 1)) as copy")
+
+
 def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned rows, laid out for series operators."""
-    raw = table(spark, sf_dir, "events").selectExpr("concat('V', user_id) as Vehicle_ID", "explode(array(0, 1)) as copy")
-    return lay_out(telemetry(spark, sf_dir), TRACK, sized_by=raw)
+    return lay_out(telemetry(spark, sf_dir), TRACK, sized_by=uncleaned(spark, sf_dir))
 
 
 def stepped(spark: SparkSession, sf_dir: str) -> DataFrame:

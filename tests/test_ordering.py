@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from odoscan.config import Settings, Track
-from odoscan.operators import cleaning, entropy, quantiles, rules, series, smoothing
+from odoscan.operators import cleaning, entropy, features, ordering, quantiles, rules, series, smoothing
 from odoscan.operators.ordering import BLOCK, SEQ, clear_layout, lay_out, lookup_join, running_totals, salted
 
 WHOLE = Track()
@@ -166,3 +166,11 @@ def test_many_quantiles_of_a_large_table_come_from_buckets(spark, monkeypatch):
             assert (got[c] is None) == (want[c] is None)
             assert want[c] is None or np.array_equal(np.array(got[c]), np.array(want[c]), equal_nan=True), c
     assert quantiles.quantiles(df.limit(0), ["a"], probs, settings=Settings(exact_group_rows=-1)).first()["a"] is None
+
+
+def test_feature_build_finds_the_longest_series_without_computing_its_rows(spark, fleet, monkeypatch):
+    counted, largest = [], ordering.largest_group
+    monkeypatch.setattr(ordering, "largest_group", lambda df, keys: counted.append(df) or largest(df, keys))
+    raw = fleet.select("Vehicle_ID")
+    features.build_features(fleet, sets=("temporal",), sized_by=raw)
+    assert len(counted) == 1 and counted[0] is raw
