@@ -124,7 +124,7 @@ SELECT feature_set, count(*) AS n_features, CAST(sum(nulls) AS BIGINT) AS nulls,
 )
 def features_per_set(spark, sf_dir):
     """Features of each set with their nulls and distinct values, over the built rows."""
-    summary = summaries.column_summary(_built(spark, sf_dir).drop("rec_id"))
+    summary = summaries.column_summary(stage(_built(spark, sf_dir).drop("rec_id")))
     of = F.create_map(*[F.lit(x) for s, names in SETS.items() for c in names for x in (c, s)])
     return summary.groupBy(of[F.col("column_name")].alias("feature_set")).agg(
         F.count(F.lit(1)).alias("n_features"), F.sum("nulls").alias("nulls"), F.sum("distinct_values").alias("distinct_values")

@@ -76,3 +76,60 @@ def test_damaged_files_do_not_deal_rows_by_file(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_distinct_values_are_counted_in_sorted_runs(spark, monkeypatch):
+    """A row per value of every column was shuffled, 133 times the table."""
+    from odoscan.operators import distinct
+
+    monkeypatch.setattr(distinct, "RANGE_ROWS", 300)
+    monkeypatch.setattr(distinct, "SORTED", 128)
+    rng = np.random.default_rng(2)
+    n = 4000
+    x = np.round(rng.normal(size=n), 2)
+    x[:3] = [0.0, -0.0, np.inf]
+    rows = pd.DataFrame({"x": x, "k": rng.integers(-50, 900, n), "same": 1.5})
+    frame = spark.createDataFrame(rows).repartition(5).selectExpr(
+        "*", "if(k > 500, null, x) as holes", "if(k > 700, double('nan'), x) as odd", "k > 3 as flag", "cast(x as float) as half", "cast(null as int) as none", "cast(k as string) as text"
+    )
+    got = {r["column_name"]: r for r in summaries.column_summary(frame).collect()}
+    every = frame.toPandas()
+    for c in ("x", "k", "same", "flag", "half", "text"):
+        want = len({str(v) for v in every[c]})  # as text, both zeros count
+        assert (got[c]["distinct_values"], got[c]["nulls"], got[c]["rows"]) == (want, 0, n), c
+    assert got["none"]["distinct_values"] == 0 and got["none"]["nulls"] == n
+    known = every["k"] <= 500
+    assert got["holes"]["nulls"] == (~known).sum() and got["holes"]["distinct_values"] == len({str(v) for v in every["x"][known]})
+    assert got["odd"]["distinct_values"] == len({str(v) for v in every["x"][every["k"] <= 700]}) + 1
+    assert summaries.column_summary(frame.limit(0)).count() == 0
+    plan = summaries.column_summary(frame.drop("text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan
+    stats = {r["feature"]: r for r in summaries.feature_stats(frame, ["x", "k"], digits=9).collect()}
+    assert stats["x"]["unique_count"] == len(set(x)) and stats["k"]["q25"] == np.quantile(rows["k"], 0.25)
+
+
+def test_medians_and_filled_quartiles_come_from_the_same_scans(spark, monkeypatch):
+    from odoscan.models import scaling
+
+    rng = np.random.default_rng(9)
+    n = 5001
+    rows = pd.DataFrame({c: np.where(rng.random(n) < share, np.nan, rng.normal(size=n).round(d)) for c, share, d in (("a", 0.0, 3), ("b", 0.3, 8), ("c", 0.6, 8), ("d", 0.4, 0))})
+    frame = spark.createDataFrame(rows).selectExpr(*[f"nanvl({c}, null) as {c}" for c in rows], "cast(null as double) as none", "1 as one").repartition(4)
+    want = scaling.fit_preparation(frame, frame.columns)
+    monkeypatch.setattr(scaling, "quantiles", lambda *_, **__: pytest.fail("scanned again"))
+    for placed in (0, 200, 32_000):
+        monkeypatch.setattr(quantiles, "PLACED", placed)
+        got = scaling.fit_preparation(frame, frame.columns, Settings(exact_group_rows=0))
+        for part in ("fill", "centre", "spread"):
+            assert getattr(got, part) == pytest.approx(getattr(want, part), abs=1e-12), (placed, part)
+
+
+def test_isolation_scores_are_computed_once(spark):
+    """The quantile read scores of its own, and the result scored every row again."""
+    from odoscan.models import isolation
+
+    rng = np.random.default_rng(1)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(500, 3)))], "rec_id long, v array<double>")
+    out = isolation.isolation_forest(frame, "v", settings=Settings(trees=20), keep_vector=False)
+    assert "EvalPython" not in out._jdf.queryExecution().optimizedPlan().toString() and out.columns == ["rec_id", "IsoForest_Score", "IsoForest_Anomaly"]
+    assert out.agg(F.sum("IsoForest_Anomaly")).first()[0] == 5
